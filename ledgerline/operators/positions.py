@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import midnight, plus
+from ledgerline.functions.draws import triangular_int, uniform, uniform_int
 from ledgerline.functions.money import percent_of, simple_interest_value
 
 
@@ -46,28 +46,61 @@ def active_on(start: Column, closed: Column, day: Column) -> Column:
     return (start <= day) & (closed.isNull() | (closed > day))
 
 
-def proceeds(positions: DataFrame) -> DataFrame:
+# Hours from closing a position to the credit of its proceeds, and the shortest,
+# usual and longest days of a sale and of the wallet withdrawal that follows a redemption.
+PROCEEDS_DELAY = {"vest": 0, "early_withdrawal": 24, "sale": 24}
+SALE_HELD_OVER, SALE_SHORTEST, SALE_USUAL = 200, 30, 180
+WITHDRAWAL_LAG = (1, 14, 90)
+RETRY_LAG = (2, 15)
+FIRST_TRY_SHARE = 0.9
+
+
+def sale_date(start: Column, maturity: Column, redeemed: Column, key: Column, as_of: dt.date) -> Column:
+    """When an open-ended position, held over 200 days and redeemed, was sold."""
+    held = F.datediff(F.lit(as_of), start)
+    days = triangular_int(uniform("sale", key), F.lit(SALE_SHORTEST), F.least(F.lit(SALE_USUAL), held), held)
+    return F.when(redeemed & maturity.isNull() & (held > SALE_HELD_OVER), F.date_add(start, days))
+
+
+def proceeds(positions: DataFrame, delays: dict[str, int] = PROCEEDS_DELAY) -> DataFrame:
     """Credits for closed positions: vested, withdrawn early and sold ones.
 
-    A vested position pays at maturity, an early withdrawal 24 hours after the request, a sale of
-    an open-ended position 3 hours after the sale at the end of 200 days.
+    Each position is read once; needs the columns of its closing dates and ``sale_date``.
+    """
+    early, vests = F.col("is_withdrawn_early"), F.col("maturity_date").isNotNull()
+    reason = (
+        F.when(vests & early, "early_withdrawal").when(vests, "vest").when(F.col("sale_date").isNotNull(), "sale")
+    )
+    day = F.coalesce("early_withdrawal_date", "maturity_date", "sale_date")
+    hours = F.lit(None).cast("int")
+    for name, delay in delays.items():
+        hours = F.when(reason == name, delay).otherwise(hours)
+    return positions.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(
+        "position_key",
+        "reason",
+        F.lit("credit").alias("direction"),
+        plus(midnight(day), hours=hours).alias("transferred_at"),
+        "amount_invested",
+    )
+
+
+def withdrawals(redeemed: DataFrame) -> DataFrame:
+    """Wallet withdrawals after a redemption (columns position_key, closed_on, amount_invested).
+
+    Most succeed at the first attempt; the others fail then and succeed some days later.
     """
-    branches = {
-        "vest": (~F.col("is_withdrawn_early") & F.col("maturity_date").isNotNull(), F.col("maturity_date"), 0),
-        "early_withdrawal": (F.col("early_withdrawal_date").isNotNull(), F.col("early_withdrawal_date"), 24),
-        "sale": (F.col("is_redeemed") & F.col("maturity_date").isNull(), F.date_add("start_date", 200), 3),
-    }
-    parts = [
-        positions.filter(condition).select(
-            "position_key",
-            F.lit(name).alias("reason"),
-            F.lit("credit").alias("direction"),
-            plus(midnight(day), hours=hours).alias("transferred_at"),
-            "amount_invested",
-        )
-        for name, (condition, day, hours) in branches.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    key = F.col("position_key")
+    lag = triangular_int(uniform("withdrawal", key), *[F.lit(d) for d in WITHDRAWAL_LAG])
+    retry = uniform_int(uniform("retry", key), *[F.lit(d) for d in RETRY_LAG])
+    first_try = uniform("attempt", key) < FIRST_TRY_SHARE
+    attempt_at = plus(midnight(F.col("closed_on")), days=lag + 1)
+    success = F.struct(
+        F.lit("success").alias("status"),
+        F.when(first_try, attempt_at).otherwise(plus(attempt_at, days=retry)).alias("withdrawn_at"),
+    )
+    failure = F.struct(F.lit("failure").alias("status"), attempt_at.alias("withdrawn_at"))
+    attempts = F.when(first_try, F.array(success)).otherwise(F.array(failure, success))
+    return redeemed.select("position_key", "amount_invested", F.inline(attempts))
 
 
 def first_per_user(positions: DataFrame, order: list[Column]) -> DataFrame:

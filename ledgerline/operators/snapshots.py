@@ -98,10 +98,3 @@ def set_where_listed(base: DataFrame, listed: DataFrame, key: str, values: dict[
         .withColumns({c: F.when(F.col("_listed"), v).otherwise(F.col(c)) for c, v in values.items()})
         .drop("_listed")
     )
-
-
-def split_day(df: DataFrame, ts: str, day) -> tuple[DataFrame, DataFrame]:
-    """(rows before the day, rows of the day) by half-open bounds."""
-    from ledgerline.functions.calendar import ntz, within_day
-
-    return df.filter(F.col(ts) < ntz(day)), df.filter(within_day(F.col(ts), day))
