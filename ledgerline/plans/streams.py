@@ -1 +1,107 @@
-"""Placeholder."""
+"""Streaming queries, drained over the event table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerline.operators import snapshots
+from ledgerline.plans.registry import query
+from ledgerline.schemas import INPUT
+from ledgerline.session import scratch
+from ledgerline.sources import readers
+from ledgerline.streaming import drain, jobs
+from ledgerline.streaming.jobs import naive
+
+
+def _events(t):
+    return readers.stream_table(t, "events")
+
+
+@query("SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS load_date FROM events")
+def stream_daily_ingest(t):
+    stream = _events(t).select("event_id", "user_id", "event_type", "ts")
+    return drain.ingest(stream, F.to_date("ts"), "ingest").drop("ts")
+
+
+@query("SELECT event_id, user_id, ts FROM events")
+def stream_dedupe(t):
+    """The events fed twice come out once."""
+    twice = _events(t).select("event_id", "user_id", "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")).drop("copy")
+    rows = drain.append(jobs.deduplicated(twice), "dedupe")
+    return rows.withColumns(naive("ts"))
+
+
+@query("SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS events FROM events GROUP BY ALL")
+def stream_tumbling_counts(t):
+    rows = drain.upsert(jobs.tumbling_counts(_events(t)), "tumbling", ["window_start", "event_type"], "complete")
+    return rows.withColumns(naive("window_start"))
+
+
+@query()
+def stream_sliding_active(t):
+    rows = drain.upsert(jobs.sliding_active(_events(t)), "sliding", ["window_start"])
+    return rows.withColumns(naive("window_start"))
+
+
+@query()
+def stream_session_engagement(t):
+    rows = drain.append(jobs.login_sessions(_events(t)), "sessions")
+    return rows.withColumns(naive("session_start", "session_end"))
+
+
+@query(
+    """SELECT user_id AS wallet_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS balance, count(*) AS fundings
+FROM events WHERE event_type = 'purchase' GROUP BY 1"""
+)
+def stream_wallet_balance(t):
+    return drain.upsert(jobs.wallet_balances(_events(t)), "balances", ["wallet_id"])
+
+
+@query(
+    """SELECT c_custkey AS user_id, max(ts) AS last_login_at FROM customer
+LEFT JOIN events ON user_id = c_custkey AND event_type = 'view' GROUP BY 1"""
+)
+def stream_last_login(t):
+    latest = drain.upsert(jobs.last_logins(_events(t)), "last_login", ["user_id"]).withColumns(naive("last_login_at"))
+    users = t.customer.select(F.col("c_custkey").alias("user_id"), F.lit(None).cast("timestamp_ntz").alias("last_login_at"))
+    return snapshots.merge(users, latest, ["user_id"])
+
+
+@query(
+    """SELECT f.event_id AS failed_id, s.event_id AS success_id, f.user_id, f.ts AS failed_at, s.ts AS success_at
+FROM events f JOIN events s ON s.user_id = f.user_id AND s.ts > f.ts AND s.ts <= f.ts + INTERVAL 1 DAY
+WHERE f.event_type = 'error' AND s.event_type = 'purchase'"""
+)
+def stream_failed_then_success(t):
+    rows = drain.append(jobs.failed_then_success(_events(t)), "retries")
+    return rows.withColumns(naive("failed_at", "success_at"))
+
+
+@query()
+def stream_late_data(t):
+    """Two deliveries, the older events last: what lies behind the watermark is counted, not merged."""
+    events = t.events
+    border = events.agg(F.expr("min(ts) + (max(ts) - min(ts)) / 2").alias("b")).first()["b"]
+    root = scratch(t.spark, "late")
+    later = F.col("ts") >= F.lit(border)
+    events.filter(later).write.parquet(f"{root}/delivery=1")
+    events.filter(~later).write.parquet(f"{root}/delivery=2")
+    reports = []
+    for delivery in (1, 2):
+        arrived = t.spark.read.schema(INPUT["events"]).parquet(f"{root}/delivery={delivery}")
+        arrived.write.mode("append").parquet(f"{root}/inbox")
+        stream = readers.zoned(t.spark.readStream.schema(INPUT["events"]).parquet(f"{root}/inbox"))
+        job = drain.start_append(jobs.daily_counts(stream), f"{root}/counts")
+        reports.append((delivery, *drain.progress_counts(job)))
+    return t.spark.createDataFrame(reports, "delivery int, rows_read bigint, rows_too_late bigint")
+
+
+@query(
+    """WITH f AS (SELECT user_id, min(ts) FILTER (WHERE event_type = 'signup') AS signup_at, min(ts) FILTER (WHERE event_type = 'click') AS kyc_at,
+min(ts) FILTER (WHERE event_type = 'purchase') AS funded_at FROM events WHERE event_type IN ('signup', 'click', 'purchase') GROUP BY 1)
+SELECT *, CASE WHEN signup_at IS NULL THEN 'Unknown' WHEN kyc_at IS NULL THEN 'Registered' WHEN funded_at IS NULL THEN 'KYC_Completed'
+ELSE 'Activated' END AS state FROM f"""
+)
+def stream_lifecycle_state(t):
+    rows = drain.upsert(jobs.lifecycle_states(_events(t)), "states", ["user_id"])
+    return rows.withColumns(naive("signup_at", "kyc_at", "funded_at"))
