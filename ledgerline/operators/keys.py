@@ -7,85 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SAMPLES_PER_BUCKET = 16
-_MAX_BUCKETS = 4096
+from ledgerline.session import scratch
 
+_ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row of its partition here
 
-def _literal(text: str | None, type_name: str) -> str:
-    if text is None:
-        return f"CAST(NULL AS {type_name})"
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"CAST('{escaped}' AS {type_name})"
 
-
-def _bounds(df: DataFrame, order: Sequence[str], buckets: int) -> list[str] | None:
-    """Bucket borders as SQL struct literals; None when all rows fit one sample.
-
-    The sample is the ``buckets * 16`` rows of smallest hash: its size does not grow with the
-    table, and any borders give correct keys, they only decide how even the buckets are.
-    """
-    limit = buckets * _SAMPLES_PER_BUCKET
-    sample = df.select(*order).orderBy(F.xxhash64(*order)).limit(limit)
-    rows = sample.orderBy(*order).select(*[F.col(c).cast("string") for c in order]).collect()
-    if len(rows) < limit:
-        return None
-    types = [df.schema[c].dataType.simpleString() for c in order]
-    picked = rows[_SAMPLES_PER_BUCKET::_SAMPLES_PER_BUCKET]
-    return [
-        "named_struct(" + ", ".join(f"'{c}', {_literal(v, t)}" for c, v, t in zip(order, row, types)) + ")"
-        for row in picked
-    ]
-
-
-def _bucket(bounds: list[str], order: Sequence[str]) -> Column:
-    """How many borders are at or below the row: a binary search in the literal array."""
-    borders = F.expr("array(" + ", ".join(bounds) + ")")
-    key = F.struct(*order)
-    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
-
-    def halve(at: Column, _step: Column) -> Column:
-        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
-        upper = F.struct((middle + 1).alias("lo"), at["hi"].alias("hi"))
-        lower = F.struct(at["lo"].alias("lo"), middle.alias("hi"))
-        return (
-            F.when(at["lo"] >= at["hi"], at).when(F.get(borders, middle) <= key, upper).otherwise(lower)
-        )
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-    return F.aggregate(steps, start, halve, lambda at: at["lo"])
-
-
-def dense_key(
-    df: DataFrame, order: Sequence[str], name: str, *, after: int = 0, buckets: int | None = None
-) -> DataFrame:
+def dense_key(df: DataFrame, order: Sequence[str], name: str, *, after: int = 0) -> DataFrame:
     """Number the rows after+1, after+2, ... along ``order`` (ascending, nulls first).
 
-    Rows go to range buckets of about equal size, are numbered inside their bucket and shifted
-    by the rows of all earlier buckets. ``order`` must end in a tiebreak; since the borders
-    cover the tiebreak too, a value shared by many rows is split over several buckets.
+    Rows are range-partitioned and sorted inside their partition, then written to the scratch
+    folder with their partition and place. The key is the place plus the rows of all partitions
+    before. The written table fixes which row lies where: no retry or lost executor can move
+    one afterwards, and ``df`` is not computed again for the counts.
+
+    ``order`` must end in a tiebreak. As it takes part in the ranges, a value that a third of
+    the rows share is spread over several partitions.
     """
-    spark = df.sparkSession
-    order = list(order)
-    if buckets is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(8, min(_MAX_BUCKETS, partitions * 2))
-    bounds = _bounds(df, order, buckets)
-    if bounds is None:
-        number = F.row_number().over(Window.orderBy(*order))
-        return df.withColumn(name, (number + after).cast("long"))
-
-    placed = df.withColumn("_bucket", _bucket(bounds, order))
-    sizes = placed.groupBy("_bucket").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+    spark, order = df.sparkSession, list(order)
+    placed = (
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
     )
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    path = scratch(spark, f"keys-{name}")
+    placed.write.parquet(path)
+    stored = spark.read.schema(placed.schema).parquet(path)
+    sizes = stored.groupBy("_part").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    number = F.col("_offset") + F.col("_place") + (after + 1)
     return (
-        placed.withColumn("_inside", inside)
-        .join(F.broadcast(offsets), "_bucket")  # one row per bucket, at most _MAX_BUCKETS
-        .withColumn(name, (F.col("_offset") + F.col("_inside") + after).cast("long"))
-        .drop("_bucket", "_inside", "_offset")
+        stored.join(F.broadcast(offsets), "_part")  # one row per partition
+        .withColumn(name, number.cast("long"))
+        .drop("_part", "_place", "_offset")
     )
 
 
@@ -111,9 +66,8 @@ def continue_keys(stored: DataFrame, arrivals: DataFrame, order: Sequence[str],
 
 def ntile(df: DataFrame, order: Sequence[str], tiles: int, name: str) -> DataFrame:
     """Global ntile through dense ranks, so that no task sorts the whole table."""
-    total = df.count()
-    small, large = divmod(total, tiles)
     ranked = dense_key(df, order, "_rank")
+    small, large = divmod(ranked.count(), tiles)
     border = large * (small + 1)
     rank = F.col("_rank") - 1
     tile = F.when(rank < border, F.floor(rank / (small + 1))).otherwise(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.draws import uniform
+from ledgerline.schemas import fixed_rows
 
 
 def sample_fraction(df: DataFrame, key: Sequence[str], fraction: float, seed: int) -> DataFrame:
@@ -51,9 +52,9 @@ def range_bucket(df: DataFrame, draw: Column, weights: Sequence[tuple], name: st
     spark = df.sparkSession
     rows = cumulative(weights)
     if parent is None:
-        table = spark.createDataFrame(rows, f"{name} string, _lo double, _hi double")
+        table = fixed_rows(spark, rows, f"{name} string, _lo double, _hi double")
     else:
-        table = spark.createDataFrame(rows, f"_parent string, {name} string, _lo double, _hi double")
+        table = fixed_rows(spark, rows, f"_parent string, {name} string, _lo double, _hi double")
     inside = (F.col("_draw") >= F.col("_lo")) & (F.col("_draw") < F.col("_hi"))
     if parent is not None:
         inside = (F.col(parent) == F.col("_parent")) & inside

@@ -14,7 +14,7 @@ from ledgerline.operators.positions import SALE_HELD_OVER
 from ledgerline.plans.lifecycle import _PAIRS, retry_pairs
 from ledgerline.plans.registry import query
 from ledgerline.plans.views import with_views
-from ledgerline.schemas import DAILY_BANDS
+from ledgerline.schemas import DAILY_BANDS, fixed_rows
 from ledgerline.sources import standin
 from ledgerline.sources.standin import ORDERS_AS_OF
 
@@ -245,7 +245,7 @@ def metric_operational_daily(t):
             ("fact_investment_position", t.lineitem, "l_shipdate"),
         )
     ]
-    bands = t.spark.createDataFrame(DAILY_BANDS, "table_name string, lo bigint, hi bigint")
+    bands = fixed_rows(t.spark, DAILY_BANDS, "table_name string, lo bigint, hi bigint")
     counted = days[0].unionByName(days[1]).unionByName(days[2])
     in_band = F.col("row_count").between(F.col("lo"), F.col("hi"))
     return counted.join(F.broadcast(bands), "table_name").select("table_name", "load_date", "row_count", in_band.alias("in_band"))

@@ -121,7 +121,22 @@ start_date::TIMESTAMP AS created_at, TIMESTAMP '2001-06-30' AS last_updated_at F
 )
 def position_extract(t):
     """The full position fact with dense ids in start order."""
-    keyed = keys.dense_key(_valued(t, owner=True), ["start_date", "position_key"], "investment_id")
+    # Only what the fact needs goes through the keying; the amounts are worked out afterwards.
+    held = standin.positions(t, owner=True).select(
+        "position_key",
+        "user_id",
+        "plan_id",
+        "amount_invested",
+        "start_date",
+        "maturity_date",
+        "early_withdrawal_date",
+        "is_withdrawn_early",
+        "is_redeemed",
+        "tenure_days",
+        "interest_rate_min",
+        "penalty_rate_pct",
+    )
+    keyed = _valued(keys.dense_key(held, ["start_date", "position_key"], "investment_id"))
     start, end, early = (F.col(c) for c in ("start_date", "maturity_date", "early_withdrawal_date"))
     shaped = keyed.select(
         "investment_id",
@@ -146,12 +161,11 @@ def position_extract(t):
     return readers.conform(shaped, STAR["fact_investment_position"])
 
 
-def _valued(t, owner: bool = False):
+def _valued(held):
     """Positions with status, maturity value, penalty and payout."""
     amount = F.col("amount_invested")
     return (
-        standin.positions(t, owner=owner)
-        .withColumn(
+        held.withColumn(
             "investment_status",
             F.when(F.col("is_redeemed"), "Redeemed")
             .when(F.col("is_withdrawn_early"), "Withdrawn_Early")
@@ -290,16 +304,17 @@ CASE WHEN is_withdrawn_early THEN {date_id('request_date')} END AS early_withdra
 def early_withdrawal_request(t):
     """Request date: a drawn number of days before maturity, never before the start."""
     lead = early_lead_days(F.col("plan_id"), F.col("position_key"))
-    request = F.greatest(F.col("start_date"), F.date_sub("maturity_date", lead))
-    requested = F.when(F.col("is_withdrawn_early"), request)
+    request = F.greatest(F.col("start_date"), F.date_sub("maturity_date", F.col("drawn_lead")))
     return (
         standin.positions(t)
         .filter(F.col("maturity_date").isNotNull())
+        .withColumn("drawn_lead", lead)
+        .withColumn("early_withdrawal_date", F.when(F.col("is_withdrawn_early"), request))
         .select(
             "position_key",
             "is_withdrawn_early",
-            requested.alias("early_withdrawal_date"),
-            cal.date_id(requested).alias("early_withdrawal_date_id"),
+            "early_withdrawal_date",
+            cal.date_id(F.col("early_withdrawal_date")).alias("early_withdrawal_date_id"),
         )
     )
 
@@ -360,7 +375,7 @@ def asset_sale_redemption(t):
 FROM positions"""
 )
 def penalty_amount(t):
-    return _valued(t).select("position_key", "penalty_amount")
+    return _valued(standin.positions(t)).select("position_key", "penalty_amount")
 
 
 @query(
@@ -369,7 +384,7 @@ def penalty_amount(t):
 AS DECIMAL(18,2)) AS expected_maturity_value FROM positions"""
 )
 def expected_maturity_value(t):
-    return _valued(t).select("position_key", "expected_maturity_value")
+    return _valued(standin.positions(t)).select("position_key", "expected_maturity_value")
 
 
 @query(
@@ -380,7 +395,7 @@ THEN CAST(amount_invested * penalty_pct * 0.01 AS DECIMAL(18,2)) ELSE 0 END AS p
 SELECT position_key, CASE WHEN is_redeemed THEN CAST(value - penalty AS DECIMAL(18,2)) END AS amount_paid_out FROM v"""
 )
 def amount_paid_out(t):
-    return _valued(t).select("position_key", "amount_paid_out")
+    return _valued(standin.positions(t)).select("position_key", "amount_paid_out")
 
 
 @query(

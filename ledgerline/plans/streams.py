@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import snapshots
 from ledgerline.plans.registry import query
-from ledgerline.schemas import INPUT
+from ledgerline.schemas import INPUT, fixed_rows
 from ledgerline.session import scratch
 from ledgerline.sources import readers
 from ledgerline.streaming import drain, jobs
@@ -93,7 +93,7 @@ def stream_late_data(t):
         stream = readers.zoned(t.spark.readStream.schema(INPUT["events"]).parquet(f"{root}/inbox"))
         job = drain.start_append(jobs.daily_counts(stream), f"{root}/counts")
         reports.append((delivery, *drain.progress_counts(job)))
-    return t.spark.createDataFrame(reports, "delivery int, rows_read bigint, rows_too_late bigint")
+    return fixed_rows(t.spark, reports, "delivery int, rows_read bigint, rows_too_late bigint")
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -276,8 +276,27 @@ DAILY_BANDS = [
 # --- small dimension frames ---------------------------------------------------------
 
 
+def fixed_rows(spark: SparkSession, rows: Sequence[tuple], columns: str) -> DataFrame:
+    """A few fixed rows as a VALUES list: known to the optimizer, with no Python worker behind."""
+    typed = [column.split() for column in columns.split(", ")]
+    quote = {"'": "\\'", "\\": "\\\\"}
+
+    def literal(value) -> str:
+        if value is None:
+            return "NULL"
+        if isinstance(value, str):
+            return "'" + "".join(quote.get(ch, ch) for ch in value) + "'"
+        return str(value)
+
+    values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    names = ", ".join(name for name, _ in typed)
+    casts = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in typed)
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS rows({names})")
+
+
 def event_type_rows(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return fixed_rows(
+        spark,
         EVENT_TYPES,
         "event_type_id int, event_type_code string, event_type_category string,"
         " event_type_stage string, is_conversion_milestone boolean, product_area string",
@@ -285,21 +304,21 @@ def event_type_rows(spark: SparkSession) -> DataFrame:
 
 
 def plan_rows(spark: SparkSession) -> DataFrame:
-    rows = [
-        (i, p, n, c, Decimal(w), Decimal(lo), Decimal(hi), t, o, liq, Decimal(pen), risk)
-        for i, p, n, c, w, lo, hi, t, o, liq, pen, risk in PLANS
-    ]
-    return spark.createDataFrame(
-        rows,
+    """The plans with their terms and the usual lead of an early withdrawal."""
+    lead = {plan: usual for plan, _, usual, _ in EARLY_WITHDRAWAL_LEAD}
+    return fixed_rows(
+        spark,
+        [(*plan, lead.get(plan[0])) for plan in PLANS],
         "plan_id int, product_id int, plan_name string, plan_category string,"
         " plan_weight decimal(5,2), interest_rate_min decimal(5,2),"
         " interest_rate_max decimal(5,2), tenure_days int, is_open_ended boolean,"
-        " liquidity_type string, penalty_rate_pct decimal(5,2), risk_level string",
+        " liquidity_type string, penalty_rate_pct decimal(5,2), risk_level string, lead_days int",
     )
 
 
 def transaction_type_rows(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return fixed_rows(
+        spark,
         TRANSACTION_TYPES,
         "transaction_type_id int, transaction_type_code string, transaction_category string,"
         " transaction_direction string",

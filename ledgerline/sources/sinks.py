@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.schemas import fixed_rows
 from ledgerline.sources.readers import conform
 
 
@@ -65,7 +66,7 @@ def load_report(frames: dict[str, DataFrame], base_uri: str) -> DataFrame:
         seen = Observation(name)
         overwrite(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{base_uri}/{name}")
         loaded.append((name, seen.get["rows"]))
-    return spark.createDataFrame(loaded, "table_name string, rows_loaded bigint")
+    return fixed_rows(spark, loaded, "table_name string, rows_loaded bigint")
 
 
 def materialize_table(df: DataFrame, name: str, base_uri: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.calendar import date_id
 from ledgerline.functions.money import money
 from ledgerline.operators.lifecycle import milestones
-from ledgerline.schemas import EARLY_WITHDRAWAL_LEAD, plan_rows
+from ledgerline.schemas import plan_rows
 from ledgerline.sources.readers import Tables
 
 EVENTS_AS_OF = dt.date(2024, 1, 31)
@@ -127,12 +127,8 @@ def positions(t: Tables, *, owner: bool = False, plan: bool = True) -> DataFrame
     )
     if not plan:
         return df
-    plans = plan_rows(t.spark)
-    leads = t.spark.createDataFrame(
-        [(plan, mode) for plan, _, mode, _ in EARLY_WITHDRAWAL_LEAD], "plan_id int, lead_days int"
-    )
-    # Four fixed plans: their part types and terms are broadcast, the parts are not.
-    terms = F.broadcast(plans.join(leads, "plan_id", "left"))
+    # Four fixed plans: their terms are broadcast, the parts are not.
+    terms = F.broadcast(plan_rows(t.spark))
     parts = t.part.select(
         F.col("p_partkey").alias("part_key"), choose(F.col("p_type"), PLAN_OF_TYPE).alias("plan_id")
     )
