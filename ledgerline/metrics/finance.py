@@ -48,12 +48,15 @@ def net_deposits(cash: DataFrame) -> DataFrame:
     return cash.groupBy(month_start(F.col("event_time")).alias("month")).agg(total(moved).alias("net_deposits"))
 
 
-def average_balance(wallets: DataFrame, by: list[str]) -> DataFrame:
-    return wallets.groupBy(*by).agg(
-        F.count("*").alias("wallets"),
-        total(F.col("balance")).alias("total_balance"),
-        ratio(F.sum("balance"), F.count("*")).alias("average_balance"),
-    )
+def average_balance(wallets: DataFrame, by: str) -> DataFrame:
+    """Average balance per group and over all, the total built from the groups."""
+    groups = wallets.groupBy(by).agg(F.count("*").alias("n"), F.sum("balance").alias("b"))
+    size, amount = F.sum("n"), total(F.col("b"))
+    return groups.rollup(by).agg(
+        size.alias("wallets"),
+        amount.alias("total_balance"),
+        ratio(amount, size).alias("average_balance"),
+    ).fillna("all", [by])
 
 
 def segment(logins: Column, balance: Column) -> Column:

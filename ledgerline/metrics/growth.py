@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import minutes_between, month_start
@@ -53,15 +53,20 @@ def monthly_active(activity: DataFrame, user: str, ts: str) -> DataFrame:
 def daily_weekly_active(activity: DataFrame, user: str, ts: str) -> DataFrame:
     """Daily actives, actives of the seven days up to the day, and their ratio.
 
-    Works on distinct (user, day) pairs; each pair counts for seven days.
+    A user active on a day counts for that day and the six after it, or up to the next active
+    day if that comes sooner: one step up, one step down. The steps are summed per day, and the
+    running sum over the calendar's days gives the weekly actives. No pair is multiplied.
     """
     days = activity.select(user, F.to_date(ts).alias("day")).distinct()
-    daily = days.groupBy("day").agg(F.count("*").alias("dau"))
-    ahead = F.sequence(F.col("day"), F.date_add("day", 6))
-    weekly = (
-        days.select(user, F.explode(ahead).alias("day")).distinct().groupBy("day").agg(F.count("*").alias("wau"))
-    )
-    return daily.join(weekly, "day").withColumn("stickiness", ratio(F.col("dau"), F.col("wau")))
+    following = F.lead("day").over(Window.partitionBy(user).orderBy("day"))
+    until = F.least(F.date_add("day", 7), following)
+    up = F.struct(F.col("day"), F.lit(1).alias("step"), F.lit(1).alias("here"))
+    down = F.struct(F.col("until").alias("day"), F.lit(-1).alias("step"), F.lit(0).alias("here"))
+    steps = days.withColumn("until", until).select(F.inline(F.array(up, down)))
+    per_day = steps.groupBy("day").agg(F.sum("step").alias("step"), F.sum("here").alias("dau"))
+    so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    weekly = per_day.select("day", "dau", F.sum("step").over(so_far).alias("wau")).filter("dau > 0")
+    return weekly.withColumn("stickiness", ratio(F.col("dau"), F.col("wau")))
 
 
 def retention(
@@ -97,15 +102,15 @@ def active_months(activity: DataFrame, user: str, ts: str) -> DataFrame:
 def cohorts(activity: DataFrame, user: str, ts: str) -> DataFrame:
     """Users by month of first activity and months since, with the share of the cohort."""
     months = active_months(activity, user, ts)
-    first = months.groupBy(user).agg(F.min("month").alias("cohort_month"))
+    first = F.min("month").over(Window.partitionBy(user))  # a user has as many rows as months
     since = F.months_between("month", "cohort_month").cast("int")
     cells = (
-        months.join(first, user)
+        months.withColumn("cohort_month", first)
         .groupBy("cohort_month", since.alias("months_since"))
         .agg(F.count("*").alias("active_users"))
     )
-    sizes = cells.filter("months_since = 0").select("cohort_month", F.col("active_users").alias("cohort_size"))
-    return cells.join(sizes, "cohort_month").withColumn(
+    size = F.max(F.when(F.col("months_since") == 0, F.col("active_users"))).over(Window.partitionBy("cohort_month"))
+    return cells.withColumn("cohort_size", size).withColumn(
         "share", ratio(F.col("active_users"), F.col("cohort_size"))
     )
 
@@ -113,21 +118,22 @@ def cohorts(activity: DataFrame, user: str, ts: str) -> DataFrame:
 def retention_churn(activity: DataFrame, user: str, ts: str) -> DataFrame:
     """Of the users active in the month before: how many came back, how many did not."""
     months = active_months(activity, user, ts)
-    before = months.select(user, F.add_months("month", 1).alias("month"))
-    back = months.withColumn("_back", F.lit(1))
-    last = months.agg(F.max("month").alias("_last"))
+    following = F.lead("month").over(Window.partitionBy(user).orderBy("month"))
+    expected = F.add_months("month", 1)
     counted = (
-        before.join(back, [user, "month"], "left")
+        months.select(expected.alias("month"), F.coalesce(following == expected, F.lit(False)).alias("back"))
         .groupBy("month")
-        .agg(F.count("*").alias("previous_users"), F.count("_back").alias("retained_users"))
+        .agg(F.count("*").alias("previous_users"), F.count_if("back").alias("retained_users"))
     )
-    # The month after the last one has not happened yet.
-    seen = counted.join(F.broadcast(last), F.col("month") <= F.col("_last")).drop("_last")
+    # One row per month is left. The month after the last active one has not happened yet.
+    last = F.max("month").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    seen = counted.withColumn("_last", last).filter(F.col("month") < F.col("_last")).drop("_last")
+    churned = F.col("previous_users") - F.col("retained_users")
     return seen.withColumns(
         {
-            "churned_users": F.col("previous_users") - F.col("retained_users"),
+            "churned_users": churned,
             "retention_rate": ratio(F.col("retained_users"), F.col("previous_users")),
-            "churn_rate": ratio(F.col("previous_users") - F.col("retained_users"), F.col("previous_users")),
+            "churn_rate": ratio(churned, F.col("previous_users")),
         }
     )
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerline.functions.calendar import month_start
+from ledgerline.functions.calendar import month_start, ntz
 from ledgerline.functions.money import money, ratio, total
 from ledgerline.metrics import finance, growth
 from ledgerline.operators import keys, skew
@@ -23,10 +23,14 @@ FROM positions)"""
 
 
 def _held(t, owner: bool = False):
-    """Positions with their closing day; a redeemed open-ended one closes after 200 days."""
+    """Positions started by the as-of day, with their closing day.
+
+    A redeemed open-ended one closes after 200 days.
+    """
+    started = F.col("l_shipdate") < ntz(ORDERS_AS_OF + dt.timedelta(days=1))
     sold = F.when(F.col("is_redeemed"), F.date_add("start_date", SALE_HELD_OVER))
     closed = F.coalesce(F.col("early_withdrawal_date"), F.col("maturity_date"), sold)
-    return standin.positions(t, owner=owner).withColumn("closed_on", closed)
+    return standin.positions(t, owner=owner, where=started).withColumn("closed_on", closed)
 
 
 @query(
@@ -97,16 +101,7 @@ UNION ALL SELECT 'all', count(*), CAST(sum(b) AS DECIMAL(18,2)), round(CAST(sum(
 )
 def metric_avg_wallet_balance(t):
     wallets = t.customer.select(F.col("c_mktsegment").alias("segment"), money(F.col("c_acctbal")).alias("balance"))
-    per_segment = finance.average_balance(wallets, ["segment"])
-    # The total comes from the segment rows, not from a second pass over the wallets.
-    size, amount = F.sum("wallets"), total(F.col("total_balance"))
-    whole = per_segment.agg(
-        F.lit("all").alias("segment"),
-        size.alias("wallets"),
-        amount.alias("total_balance"),
-        ratio(amount, size).alias("average_balance"),
-    )
-    return per_segment.unionByName(whole)
+    return finance.average_balance(wallets, "segment")
 
 
 @query(

@@ -6,12 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerline.functions.calendar import month_start
+from ledgerline.functions.calendar import month_start, ntz
 from ledgerline.functions.money import ratio
 from ledgerline.metrics import growth
 from ledgerline.plans.registry import query
 from ledgerline.plans.views import with_views
-from ledgerline.schemas import EVENT_TYPES
+from ledgerline.schemas import EVENT_TYPES, PLANS
 from ledgerline.sources import standin
 from ledgerline.sources.standin import EVENT_CODES, EVENTS_AS_OF, ORDERS_AS_OF, choose
 
@@ -275,6 +275,11 @@ def metric_funnel_unordered(t):
     return growth.reach_funnel(flags, [(n, F.col(n)) for n in names])
 
 
+def _recent_positions(t):
+    """Positions started in 2001 or later."""
+    return standin.positions(t, owner=True, where=F.col("l_shipdate") >= ntz(dt.date(2001, 1, 1)))
+
+
 @query(
     with_views("positions", "milestones")
     + """, a AS (SELECT user_id, bool_or(plan_category = 'Savings') AS s, bool_or(plan_category = 'Investments') AS i FROM positions
@@ -287,8 +292,7 @@ round(CAST(count(*) FILTER (WHERE s OR i) AS DOUBLE) / count(*), 6) AS adoption_
 def metric_adoption_rate(t):
     """Activated users with a position started in 2001, by kind of product."""
     category = F.col("plan_category")
-    recent = standin.positions(t, owner=True).filter(F.col("start_date") >= F.lit(dt.date(2001, 1, 1)))
-    held = recent.groupBy("user_id").agg(
+    held = _recent_positions(t).groupBy("user_id").agg(
         F.bool_or(category == "Savings").alias("s"), F.bool_or(category == "Investments").alias("i")
     )
     activated = standin.user_milestones(t).filter(F.col("funded_at").isNotNull()).select("user_id")
@@ -310,7 +314,7 @@ FROM positions WHERE start_date >= DATE '2001-01-01' GROUP BY 1) GROUP BY 1"""
 )
 def metric_cross_product(t):
     """Users by the set of plans they started in 2001: at most four names per user."""
-    recent = standin.positions(t, owner=True).filter(F.col("start_date") >= F.lit(dt.date(2001, 1, 1)))
-    names = F.array_join(F.array_sort(F.collect_set("plan_name")), "+")
-    per_user = recent.groupBy("user_id").agg(names.alias("products"))
+    names = sorted(plan[2] for plan in PLANS)
+    flags = _recent_positions(t).groupBy("user_id").agg(*[F.bool_or(F.col("plan_name") == n).alias(n) for n in names])
+    per_user = flags.select(F.concat_ws("+", *[F.when(F.col(n), n) for n in names]).alias("products"))
     return per_user.groupBy("products").agg(F.count("*").alias("users"))

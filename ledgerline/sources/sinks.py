@@ -30,14 +30,12 @@ def export_public(df: DataFrame, internal: Sequence[str], path: str) -> DataFram
 def land_by_day(df: DataFrame, day: Column, path: str, column: str = "load_date") -> DataFrame:
     """Write rows under ``<column>=<day>``; only the days present in ``df`` are replaced.
 
-    Rows are spread by range over (day, row hash), so a day that dwarfs the others is written by
-    several tasks, and a small day by one.
+    The rows of a day meet in one partition, which the rebalance then cuts to file size if the
+    day dwarfs the others; small days share a task.
     """
     dated = df.withColumn(column, day)
     (
-        dated.withColumn("_spread", F.xxhash64(*df.columns))
-        .repartitionByRange(F.col(column), F.col("_spread"))
-        .drop("_spread")
+        dated.hint("rebalance", F.col(column))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)

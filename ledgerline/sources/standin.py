@@ -108,10 +108,13 @@ def wallets(t: Tables) -> DataFrame:
     )
 
 
-def positions(t: Tables, *, owner: bool = False, plan: bool = True) -> DataFrame:
-    """fact_investment_position; the owner costs a join with orders, the plan one with part."""
+def positions(t: Tables, *, owner: bool = False, plan: bool = True, where: Column | None = None) -> DataFrame:
+    """fact_investment_position; the owner costs a join with orders, the plan one with part.
+
+    ``where`` is a condition on the bare line item columns, so that it reaches the scan.
+    """
     day = F.to_date("l_shipdate")
-    df = t.lineitem
+    df = t.lineitem if where is None else t.lineitem.filter(where)
     if owner:
         orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id"))
         df = df.join(orders, "l_orderkey")
