@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import minutes_between, ntz
-from ledgerline.operators.skew import running
+from ledgerline.operators.skew import DETECT, hot_keys, running
 
 
 def first_times(df: DataFrame, user: str, ts: str, kind: str, kinds: dict[str, str]) -> DataFrame:
     """First time of each kind of event per user, as one column per kind."""
-    return df.filter(F.col(kind).isin(*kinds)).groupBy(user).agg(
+    known = F.col(user).isNotNull() & F.col(kind).isin(*kinds)
+    return df.filter(known).groupBy(user).agg(
         *[F.min(F.when(F.col(kind) == k, F.col(ts))).alias(name) for k, name in kinds.items()]
     )
 
@@ -59,11 +60,17 @@ def lifecycle_state(signup: Column, kyc: Column, funded: Column, as_of: dt.date)
 
 
 def with_last_login(
-    df: DataFrame, user: str, ts: str, tiebreak: str, is_login: Column, name: str = "last_login_at"
+    df: DataFrame,
+    user: str,
+    ts: str,
+    tiebreak: str,
+    is_login: Column,
+    name: str = "last_login_at",
+    hot: DataFrame | str | None = DETECT,
 ) -> DataFrame:
     """The latest login at or before each event of the same user (an as-of join with itself)."""
     login_time = F.when(is_login, F.col(ts))
-    return running(df, [user], [ts, tiebreak], {name: ("max", login_time, True)})
+    return running(df, [user], [ts, tiebreak], {name: ("max", login_time, True)}, hot=hot)
 
 
 def retry_pairs(
@@ -76,15 +83,23 @@ def retry_pairs(
 
 
 def sessions(
-    df: DataFrame, user: str, ts: str, tiebreak: str, gap_minutes: int, measures: dict[str, Column]
+    df: DataFrame,
+    user: str,
+    ts: str,
+    tiebreak: str,
+    gap_minutes: int,
+    measures: dict[str, Column],
+    hot: DataFrame | str | None = DETECT,
 ) -> DataFrame:
     """Cut each user's events where the pause exceeds the gap; one row per session."""
-    before = running(df, [user], [ts, tiebreak], {"_before": ("max", F.col(ts), False)})
+    if hot is DETECT:
+        hot = hot_keys(df, [user])
+    before = running(df, [user], [ts, tiebreak], {"_before": ("max", F.col(ts), False)}, hot=hot)
     starts = F.col("_before").isNull() | (
         F.col(ts) > F.col("_before") + F.make_dt_interval(mins=F.lit(gap_minutes))
     )
     numbered = running(
-        before, [user], [ts, tiebreak], {"session_no": ("sum", starts.cast("long"), True)}
+        before, [user], [ts, tiebreak], {"session_no": ("sum", starts.cast("long"), True)}, hot=hot
     )
     return numbered.groupBy(user, "session_no").agg(
         F.min(ts).alias("session_start"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.session import skew_min_rows
 
 MAX_HOT_KEYS = 10_000
+DETECT = "detect"  # let an operator look for hot keys itself
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
@@ -72,7 +73,7 @@ def running(
     *,
     reverse: bool = False,
     unit: str = "hour",
-    min_rows: int | None = None,
+    hot: DataFrame | str | None = DETECT,
 ) -> DataFrame:
     """Running aggregates per key along ``order``.
 
@@ -82,7 +83,8 @@ def running(
 
     Ordinary keys take one window. The rows of a hot key are cut into time chunks: each chunk
     runs its own window, and what came before the chunk is added from the running aggregate of
-    the chunk totals. So no single task ever sorts all the rows of a hot key.
+    the chunk totals. So no single task ever sorts all the rows of a hot key. Operators that
+    run several passes over the same keys look for the hot ones once and hand them in.
     """
     keys, order = list(keys), list(order)
     names = {out: f"_in_{out}" for out in scans}
@@ -108,7 +110,8 @@ def running(
             }
         )
 
-    hot = hot_keys(df, keys, min_rows)
+    if hot is DETECT:
+        hot = hot_keys(df, keys)
     if hot is None:
         return windowed(df, keys).withColumns(outcome).drop(*names.values())
 

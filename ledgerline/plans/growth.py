@@ -31,7 +31,7 @@ def metric_signups(t):
 FROM milestones WHERE signup_at IS NOT NULL"""
 )
 def metric_activation_rate(t):
-    return growth.activation(standin.user_milestones(t))
+    return growth.activation(standin.user_milestones(t, kyc=False))
 
 
 def _segments(t):
@@ -45,7 +45,7 @@ round(CAST(count(funded_at) AS DOUBLE) / count(*), 6) AS activation_rate
 FROM milestones JOIN customer ON c_custkey = user_id WHERE signup_at IS NOT NULL GROUP BY 1"""
 )
 def metric_activation_by_channel(t):
-    users = standin.user_milestones(t).join(_segments(t).withColumnRenamed("segment", "channel"), "user_id")
+    users = standin.user_milestones(t, kyc=False).join(_segments(t).withColumnRenamed("segment", "channel"), "user_id")
     return growth.activation(users, ["channel"])
 
 
@@ -56,7 +56,7 @@ SELECT count(*) AS users, quantile_cont(minutes::DOUBLE, 0.25) AS p25_minutes, q
 quantile_cont(minutes::DOUBLE, 0.75) AS p75_minutes FROM m"""
 )
 def metric_time_to_first_funding(t):
-    return growth.time_to_first_funding(standin.user_milestones(t))
+    return growth.time_to_first_funding(standin.user_milestones(t, kyc=False))
 
 
 @query(
@@ -295,7 +295,7 @@ def metric_adoption_rate(t):
     held = _recent_positions(t).groupBy("user_id").agg(
         F.bool_or(category == "Savings").alias("s"), F.bool_or(category == "Investments").alias("i")
     )
-    activated = standin.user_milestones(t).filter(F.col("funded_at").isNotNull()).select("user_id")
+    activated = standin.user_milestones(t, kyc=False).filter(F.col("funded_at").isNotNull()).select("user_id")
     users = activated.join(held, "user_id", "left").fillna(False, ["s", "i"])
     s, i = F.col("s"), F.col("i")
     return users.agg(

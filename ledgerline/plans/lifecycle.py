@@ -408,7 +408,7 @@ def activated_without_position(t):
     """Wallets activated one to seven days before January 8 whose owner took no position in 2001."""
     as_of = dt.date(2024, 1, 8)
     recent = (F.col("funded_at") >= cal.ntz(as_of - dt.timedelta(days=7))) & (F.col("funded_at") < cal.ntz(as_of))
-    activated = standin.user_milestones(t).filter(recent)
+    activated = standin.user_milestones(t, kyc=False).filter(recent)
     owners = t.orders.filter(F.col("o_orderdate") >= cal.ntz(dt.date(2001, 1, 1))).select(
         F.col("o_custkey").alias("user_id")
     )
@@ -437,10 +437,11 @@ def session_login_review(t):
     """Sessions cut at 30 idle minutes, with logins and the reviews that follow a login within 30 minutes."""
     kind, ts = F.col("event_type"), F.col("ts")
     events = t.events.select("event_id", "user_id", "ts", "event_type")
-    seen = lifecycle.with_last_login(events, "user_id", "ts", "event_id", kind == "view", "login_at")
+    hot = skew.hot_keys(events, ["user_id"])
+    seen = lifecycle.with_last_login(events, "user_id", "ts", "event_id", kind == "view", "login_at", hot)
     belongs = (kind == "click") & (ts <= cal.plus(F.col("login_at"), minutes=30))
     measures = {"logins": F.count_if(kind == "view"), "reviews_after_login": F.count_if(belongs)}
-    return lifecycle.sessions(seen, "user_id", "ts", "event_id", 30, measures)
+    return lifecycle.sessions(seen, "user_id", "ts", "event_id", 30, measures, hot)
 
 
 @query(

@@ -92,15 +92,20 @@ def cash_flow(t: Tables) -> DataFrame:
     )
 
 
-def user_milestones(t: Tables) -> DataFrame:
-    """First signup, and first KYC and funding at or after it, per user of the event log."""
+def user_milestones(t: Tables, *, kyc: bool = True) -> DataFrame:
+    """First signup, and first KYC and funding at or after it, per user of the event log.
+
+    Without ``kyc`` its events are not read, and users that have nothing else do not show.
+    """
     kinds = {"signup": "signup_at", "click": "kyc_at", "purchase": "funded_at"}
+    if not kyc:
+        del kinds["click"]
     return milestones(t.events, "user_id", "ts", "event_type", kinds)
 
 
 def wallets(t: Tables) -> DataFrame:
     """dim_wallet: created at signup, activated at first funding; users without signup have none."""
-    return user_milestones(t).filter(F.col("signup_at").isNotNull()).select(
+    return user_milestones(t, kyc=False).filter(F.col("signup_at").isNotNull()).select(
         F.col("user_id").alias("wallet_id"),
         "user_id",
         F.col("signup_at").alias("wallet_created_at"),
