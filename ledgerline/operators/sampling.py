@@ -43,23 +43,33 @@ def cumulative(weights: Sequence[tuple]) -> list[tuple]:
     return out
 
 
-def range_bucket(df: DataFrame, draw: Column, weights: Sequence[tuple], name: str, parent: str | None = None) -> DataFrame:
-    """Join each draw to the interval of a small weight table that holds it.
+_CELLS = 64
 
-    With ``parent`` the intervals depend on that column. The weight table is a fixed list, so it
-    is broadcast.
+
+def range_bucket(
+    df: DataFrame, draw: Column, weights: Sequence[tuple], name: str, parent: str | None = None
+) -> DataFrame:
+    """Range join of each draw to the interval that holds it.
+
+    The unit interval is cut into cells; each interval is listed once per cell it touches. So the
+    join is an equality on the cell (and on ``parent``, where the intervals depend on it) with
+    the borders as a filter, not a comparison with every interval. The list is fixed and small,
+    hence the broadcast.
     """
-    spark = df.sparkSession
-    rows = cumulative(weights)
-    if parent is None:
-        table = fixed_rows(spark, rows, f"{name} string, _lo double, _hi double")
-    else:
-        table = fixed_rows(spark, rows, f"_parent string, {name} string, _lo double, _hi double")
+    listed = [
+        (*(parents if parent else ()), cell, label, lo, hi)
+        for *parents, label, lo, hi in cumulative(weights)
+        for cell in range(int(lo * _CELLS), min(int(hi * _CELLS), _CELLS - 1) + 1)
+    ]
+    columns = f"_cell int, {name} string, _lo double, _hi double"
+    keys = ["_cell"]
+    if parent:
+        columns, keys = f"{parent} string, {columns}", [parent, "_cell"]
+    table = fixed_rows(df.sparkSession, listed, columns)
+    placed = df.withColumn("_draw", draw).withColumn("_cell", F.floor(F.col("_draw") * _CELLS).cast("int"))
+    joined = placed.join(F.broadcast(table), keys)
     inside = (F.col("_draw") >= F.col("_lo")) & (F.col("_draw") < F.col("_hi"))
-    if parent is not None:
-        inside = (F.col(parent) == F.col("_parent")) & inside
-    joined = df.withColumn("_draw", draw).join(F.broadcast(table), inside, "left")
-    return joined.drop("_draw", "_lo", "_hi", "_parent")
+    return joined.filter(inside).select(*df.columns, name)
 
 
 def first_k(df: DataFrame, group: Sequence[str], key: str, k: int, seed: int) -> DataFrame:

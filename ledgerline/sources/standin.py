@@ -157,7 +157,7 @@ def positions(t: Tables, *, owner: bool = False, plan: bool = True, where: Colum
 
 def position_key() -> Column:
     """A natural key for a line item, which has none of its own."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     return F.concat_ws(
         "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", date_id(F.col("l_shipdate")), cents
     )

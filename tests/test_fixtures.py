@@ -105,6 +105,13 @@ def test_weights_become_intervals():
     )
 
 
+def test_each_draw_lands_in_its_interval(spark):
+    weights = [("a", 0.3), ("b", 0.003), ("c", 0.697)]
+    df = spark.range(0, 1000).select((F.col("id") / 1000).alias("u"))
+    out = sampling.range_bucket(df, F.col("u"), weights, "label")
+    assert rows(out) == [(u / 1000, "a" if u < 300 else "b" if u < 303 else "c") for u in range(1000)]
+
+
 def test_first_k_takes_k_of_each_group(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("g"), "id")
     per_group = rows(sampling.first_k(df, ["g"], "id", 3, 5).groupBy("g").count())
