@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from ledgerline.functions import calendar as cal
 from ledgerline.operators import snapshots
 from ledgerline.plans.registry import query
 from ledgerline.schemas import INPUT, fixed_rows
@@ -43,8 +46,15 @@ def stream_sliding_active(t):
     return rows.withColumns(naive("window_start"))
 
 
-@query()
+@query(
+    """WITH v AS (SELECT user_id, ts, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens
+FROM events WHERE event_type = 'view' WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+n AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM v)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS logins FROM n GROUP BY user_id, no
+HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM v)"""
+)
 def stream_session_engagement(t):
+    """Sessions that the watermark has closed, one hour behind the newest login."""
     rows = drain.append(jobs.login_sessions(_events(t)), "sessions")
     return rows.withColumns(naive("session_start", "session_end"))
 
@@ -77,23 +87,26 @@ def stream_failed_then_success(t):
     return rows.withColumns(naive("failed_at", "success_at"))
 
 
-@query()
+@query(
+    """SELECT 1::INTEGER AS delivery, count(*) AS rows_read, CAST(0 AS BIGINT) AS rows_too_late, count(*) AS rows_kept
+FROM events WHERE ts >= TIMESTAMP '2024-01-16'
+UNION ALL SELECT 2, count(*), count(*) FILTER (WHERE ts < b), count(*) FILTER (WHERE ts >= b)
+FROM (SELECT ts, (SELECT max(ts) FROM events) - INTERVAL 1 DAY AS b FROM events WHERE ts < TIMESTAMP '2024-01-16')"""
+)
 def stream_late_data(t):
-    """Two deliveries, the older events last: what lies behind the watermark is counted, not merged."""
-    events = t.events
-    border = events.agg(F.expr("min(ts) + (max(ts) - min(ts)) / 2").alias("b")).first()["b"]
+    """Two deliveries, the older events last: what lies behind the watermark is counted, not kept."""
+    later = F.col("ts") >= cal.ntz(dt.date(2024, 1, 16))
     root = scratch(t.spark, "late")
-    later = F.col("ts") >= F.lit(border)
-    events.filter(later).write.parquet(f"{root}/delivery=1")
-    events.filter(~later).write.parquet(f"{root}/delivery=2")
-    reports = []
-    for delivery in (1, 2):
-        arrived = t.spark.read.schema(INPUT["events"]).parquet(f"{root}/delivery={delivery}")
-        arrived.write.mode("append").parquet(f"{root}/inbox")
+    reports, kept_before = [], 0
+    for number, condition in ((1, later), (2, ~later)):
+        t.events.filter(condition).write.mode("append").parquet(f"{root}/inbox")
         stream = readers.zoned(t.spark.readStream.schema(INPUT["events"]).parquet(f"{root}/inbox"))
-        job = drain.start_append(jobs.daily_counts(stream), f"{root}/counts")
-        reports.append((delivery, *drain.progress_counts(job)))
-    return fixed_rows(t.spark, reports, "delivery int, rows_read bigint, rows_too_late bigint")
+        kept_stream = jobs.deduplicated(stream.select("event_id", "ts"))
+        read, late = drain.progress_counts(drain.start_append(kept_stream, root))
+        kept = t.spark.read.schema(kept_stream.schema).parquet(f"{root}/rows").count()
+        reports.append((number, read, late, kept - kept_before))
+        kept_before = kept
+    return fixed_rows(t.spark, reports, "delivery int, rows_read bigint, rows_too_late bigint, rows_kept bigint")
 
 
 @query(

@@ -74,18 +74,35 @@ def test_replayed_file_is_dropped(spark, tables):
 
 def test_late_rows_are_counted_not_merged(spark):
     path, root = scratch(spark, "late-inbox"), scratch(spark, "late")
-    template = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    columns = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
     def deliver(*events):
         data = [(i, dt.datetime(2024, 1, d), 1, "view", 1.0, "{}") for i, d in events]
-        spark.createDataFrame(data, template).coalesce(1).write.mode("append").parquet(path)
-        return drain.progress_counts(drain.start_append(jobs.daily_counts(stream(spark, path)), root))
+        spark.createDataFrame(data, columns).coalesce(1).write.mode("append").parquet(path)
+        kept = jobs.deduplicated(stream(spark, path).select("event_id", "ts"))
+        return drain.progress_counts(drain.start_append(kept, root))
 
     assert deliver((1, 1), (2, 1), (3, 20)) == (3, 0)
-    read, dropped = deliver((4, 1), (5, 20), (6, 28))
-    assert (read, dropped) == (2 + 1, 1)
-    counts = rows(spark.read.parquet(f"{root}/rows"))
-    assert counts == [(dt.datetime(2024, 1, 1), 2), (dt.datetime(2024, 1, 20), 2)]
+    # Event 3 again is a duplicate, 4 and 5 lie behind the watermark of January 19.
+    assert deliver((4, 1), (5, 18), (3, 20), (6, 28)) == (4, 2)
+    assert [r[0] for r in rows(spark.read.parquet(f"{root}/rows"), "event_id")] == [1, 2, 3, 6]
+
+
+def test_daily_counts_close_with_the_watermark(spark, inbox):
+    drained = drain.append(jobs.daily_counts(stream(spark, inbox)), "closed")
+    whole = rows(jobs.daily_counts(batch(spark, inbox)))
+    # The newest events are of January 30: that day and, at most, the one before stay open.
+    assert rows(drained) in (whole[:-1], whole[:-2])
+
+
+def test_rolling_actives_are_near_the_exact_count(spark, inbox, tables):
+    drained = {r[0]: r[1] for r in rows(drain.upsert(jobs.sliding_active(stream(spark, inbox)), "rolling", ["window_start"]))}
+    events = [(ts, user) for ts, user in rows(tables.events, "ts", "user_id")]
+    assert len(drained) == 36
+    for start, active in drained.items():
+        end = start + dt.timedelta(days=7)
+        exact = len({user for ts, user in events if start <= ts < end})
+        assert abs(active - exact) <= max(2, 0.15 * exact)
 
 
 def test_days_one_by_one_equal_one_load(spark, tables):
