@@ -90,17 +90,23 @@ def withdrawals(redeemed: DataFrame) -> DataFrame:
     Most succeed at the first attempt; the others fail then and succeed some days later.
     """
     key = F.col("position_key")
-    lag = triangular_int(uniform("withdrawal", key), *[F.lit(d) for d in WITHDRAWAL_LAG])
-    retry = uniform_int(uniform("retry", key), *[F.lit(d) for d in RETRY_LAG])
-    first_try = uniform("attempt", key) < FIRST_TRY_SHARE
-    attempt_at = plus(midnight(F.col("closed_on")), days=lag + 1)
+    # The draws become columns first, so that each is computed once per position.
+    drawn = redeemed.select(
+        "position_key",
+        "amount_invested",
+        "closed_on",
+        triangular_int(uniform("withdrawal", key), *[F.lit(d) for d in WITHDRAWAL_LAG]).alias("lag"),
+        uniform_int(uniform("retry", key), *[F.lit(d) for d in RETRY_LAG]).alias("retry"),
+        (uniform("attempt", key) < FIRST_TRY_SHARE).alias("first_try"),
+    ).withColumn("attempt_at", plus(midnight(F.col("closed_on")), days=F.col("lag") + 1))
+    first_try, attempt_at = F.col("first_try"), F.col("attempt_at")
     success = F.struct(
         F.lit("success").alias("status"),
-        F.when(first_try, attempt_at).otherwise(plus(attempt_at, days=retry)).alias("withdrawn_at"),
+        F.when(first_try, attempt_at).otherwise(plus(attempt_at, days=F.col("retry"))).alias("withdrawn_at"),
     )
     failure = F.struct(F.lit("failure").alias("status"), attempt_at.alias("withdrawn_at"))
     attempts = F.when(first_try, F.array(success)).otherwise(F.array(failure, success))
-    return redeemed.select("position_key", "amount_invested", F.inline(attempts))
+    return drawn.select("position_key", "amount_invested", F.inline(attempts))
 
 
 def first_per_user(positions: DataFrame, order: list[Column]) -> DataFrame:

@@ -18,17 +18,24 @@ def _named(df: DataFrame, check: str, table: str) -> DataFrame:
     )
 
 
-def row_checks(df: DataFrame, table: str, bad: dict[str, Column]) -> DataFrame:
-    """Any number of row conditions over one table in one scan; null conditions are not bad."""
-    names = list(bad)
-    counted = df.agg(
-        F.count("*").alias("n_rows"), *[F.count_if(bad[n]).alias(f"_{i}") for i, n in enumerate(names)]
-    )
-    pairs = ", ".join(f"'{n}', _{i}" for i, n in enumerate(names))
-    tall = counted.select("n_rows", F.expr(f"stack({len(names)}, {pairs}) as (check_name, n_bad)"))
-    return tall.select(
-        "check_name", F.lit(table).alias("table_name"), "n_rows", F.col("n_bad").cast("bigint").alias("n_bad")
-    )
+def row_checks(df: DataFrame, table: str, bad: dict[str, Column | tuple[Column, Column]]) -> DataFrame:
+    """Any number of row conditions over one table in one scan; null conditions are not bad.
+
+    A check given as (scope, condition) looks only at the rows in its scope.
+    """
+    counts, rows = [], []
+    for i, (name, check) in enumerate(bad.items()):
+        scope, condition = check if isinstance(check, tuple) else (F.lit(True), check)
+        counts += [F.count_if(scope).alias(f"_n{i}"), F.count_if(scope & condition).alias(f"_b{i}")]
+        rows.append(
+            F.struct(
+                F.lit(name).alias("check_name"),
+                F.lit(table).alias("table_name"),
+                F.col(f"_n{i}").alias("n_rows"),
+                F.col(f"_b{i}").alias("n_bad"),
+            )
+        )
+    return df.agg(*counts).select(F.inline(F.array(*rows)))
 
 
 def unique(df: DataFrame, keys: Sequence[str], check: str, table: str) -> DataFrame:

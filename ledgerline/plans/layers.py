@@ -65,7 +65,7 @@ def conform_schema(t):
 @query("SELECT * FROM part")
 def sink_parquet_overwrite(t):
     path = scratch(t.spark, "part")
-    sinks.overwrite(t.part.limit(0), path)
+    sinks.overwrite(t.part.filter(F.col("p_retailprice") < 1000), path)
     return sinks.overwrite(t.part, path)
 
 
@@ -122,7 +122,7 @@ def truncate_and_load(t):
     shouting = t.supplier.select(*[F.col(c).alias(c.upper()) for c in reversed(t.supplier.columns)])
     staged, target = scratch(t.spark, "stage"), scratch(t.spark, "supplier")
     shouting.write.parquet(staged)
-    sinks.overwrite(t.supplier.limit(1), target)
+    sinks.overwrite(t.supplier.filter(F.col("s_acctbal") < 0), target)
     return sinks.truncate_and_load(t.spark, staged, INPUT["supplier"], target)
 
 

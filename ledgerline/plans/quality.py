@@ -178,21 +178,33 @@ def dq_lookup_complete(t):
     + expect("kyc_before_funding", "users", "firsts", "funded_at IS NOT NULL AND (kyc_at IS NULL OR kyc_at > funded_at)")
     + """ UNION ALL SELECT 'login_before_action', 'events', count(*), count(*) FILTER (WHERE login_at IS NULL) FROM
 (SELECT event_type, max(CASE WHEN event_type = 'view' THEN ts END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS login_at
-FROM events) WHERE event_type IN ('click', 'purchase')"""
+FROM events) WHERE event_type IN ('click', 'purchase')
+UNION ALL SELECT 'review_before_selection', 'events', count(*), count(*) FILTER (WHERE review_at IS NULL) FROM
+(SELECT event_type, max(CASE WHEN event_type = 'click' THEN ts END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS review_at
+FROM events) WHERE event_type = 'purchase'"""
 )
 def dq_event_precedence(t):
-    """KYC comes before funding, and an action has a login before it."""
+    """KYC comes before funding, a login before an action, a review before a selection."""
     kyc_by_then = F.coalesce(F.col("kyc_at") <= F.col("funded_at"), F.lit(False))
     first = quality.row_checks(
         _firsts(t), "users", {"kyc_before_funding": F.col("funded_at").isNotNull() & ~kyc_by_then}
     )
-    is_login = F.col("event_type") == "view"
-    events = t.events.select("event_id", "user_id", "ts", "event_type")
-    seen = lifecycle.with_last_login(events, "user_id", "ts", "event_id", is_login, "login_at")
-    actions = seen.filter(F.col("event_type").isin("click", "purchase"))
-    return quality.report(
-        [first, quality.row_checks(actions, "events", {"login_before_action": F.col("login_at").isNull()})]
+    kind, ts = F.col("event_type"), F.col("ts")
+    needed = t.events.filter(kind.isin("view", "click", "purchase")).select("event_id", "user_id", "ts", "event_type")
+    seen = skew.running(
+        needed,
+        ["user_id"],
+        ["ts", "event_id"],
+        {
+            "login_at": ("max", F.when(kind == "view", ts), True),
+            "review_at": ("max", F.when(kind == "click", ts), True),
+        },
     )
+    then = {
+        "login_before_action": (kind.isin("click", "purchase"), F.col("login_at").isNull()),
+        "review_before_selection": (kind == "purchase", F.col("review_at").isNull()),
+    }
+    return quality.report([first, quality.row_checks(seen, "events", then)])
 
 
 @query(

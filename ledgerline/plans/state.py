@@ -14,7 +14,7 @@ from ledgerline.plans.registry import query
 from ledgerline.plans.views import date_id, draw, with_views
 from ledgerline.schemas import INPUT, STAR, contract
 from ledgerline.session import scratch
-from ledgerline.sources import readers, sinks, standin
+from ledgerline.sources import catalog, readers, sinks, standin
 from ledgerline.sources.standin import EVENTS_AS_OF
 
 HALFWAY = dt.date(2024, 1, 15)
@@ -223,15 +223,17 @@ def dim_date_build(t):
 UNION ALL SELECT 'nation', n_nationkey, n_name FROM nation"""
 )
 def dim_static_load(t):
-    loaded = []
-    for name in ("region", "nation"):
-        path = sinks.overwrite_csv(t.read(name), scratch(t.spark, f"{name}_dim"))
-        prefix = name[0]
-        shaped = readers.read_csv(t.spark, path, INPUT[name]).select(
-            F.lit(name).alias("table_name"), F.col(f"{prefix}_{name}key").alias("ID"), F.col(f"{prefix}_name").alias("code")
+    names = ("region", "nation")
+    files = {n: sinks.overwrite_csv(t.read(n), scratch(t.spark, f"{n}_dim")) for n in names}
+    loaded = catalog.load_static(t.spark, files, INPUT)
+    shape = contract("table_name string, id int not null, code string not null")
+    parts = [
+        readers.conform(
+            df.select(F.lit(n).alias("TABLE_NAME"), F.col(f"{n[0]}_{n}key").alias("Id"), F.col(f"{n[0]}_name").alias("code")), shape
         )
-        loaded.append(readers.conform(shaped, contract("table_name string, id int not null, code string not null")))
-    return loaded[0].unionByName(loaded[1])
+        for n, df in loaded.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query(

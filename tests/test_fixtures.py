@@ -12,7 +12,7 @@ from ledgerline.functions import calendar as cal
 from ledgerline.functions import draws, money, text
 from ledgerline.metrics import finance, growth
 from ledgerline.operators import keys, lifecycle, positions, quality, sampling, skew, snapshots
-from ledgerline.sources import readers, sinks
+from ledgerline.sources import catalog, readers, sinks
 from ledgerline.session import scratch
 
 D, T = dt.date, dt.datetime
@@ -406,6 +406,31 @@ def test_headers_match_by_name_in_any_case(spark):
         readers.conform(df, schemas.contract("other int not null"))
 
 
+def test_static_dimensions_from_csv(spark):
+    header = [f.name for f in schemas.STAR["dim_product"].fields]
+    df = frame(spark, [(101, "savings", 'Save, "grow"'), (102, "investments", "Invest")], ", ".join(f"{n} {k}" for n, k in zip(header, ("int", "string", "string"))))
+    path = sinks.overwrite_csv(df, scratch(spark, "product"))
+    loaded = catalog.load_static(spark, {"dim_product": path}, schemas.STAR)
+    assert rows(loaded["dim_product"]) == rows(df)
+
+
+def test_star_tables_register_by_name(spark):
+    base = scratch(spark, "star")
+    for name, schema in schemas.STAR.items():
+        spark.createDataFrame([], schema).select(*[F.col(c).alias(c.upper()) for c in reversed(schema.names)]).write.parquet(f"{base}/{name}")
+    views = catalog.register_star(spark, base)
+    assert set(views) == set(schemas.STAR)
+    for name, schema in schemas.STAR.items():
+        assert [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in schema]
+        spark.catalog.dropTempView(name)
+
+
+def test_internal_user_columns_stay_inside(spark):
+    users = spark.createDataFrame([], schemas.STAR["dim_user"])
+    public = sinks.export_public(users, schemas.INTERNAL_USER_COLUMNS, scratch(spark, "users"))
+    assert len(public.columns) == 20 and not set(public.columns) & set(schemas.INTERNAL_USER_COLUMNS)
+
+
 def test_landing_a_day_leaves_other_days_alone(spark):
     path = scratch(spark, "days")
     first = frame(spark, [(1, D(2024, 1, 1)), (2, D(2024, 1, 2))], "id bigint, d date")
