@@ -9,7 +9,6 @@ from ledgerline.operators import sampling
 from ledgerline.plans.registry import query
 from ledgerline.plans.views import draw, with_views
 from ledgerline.schemas import (
-    ACQUISITION_CHANNELS,
     CITY_WEIGHTS,
     COUNTRY_WEIGHTS,
     EARLY_WITHDRAWAL_LEAD,

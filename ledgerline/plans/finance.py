@@ -11,7 +11,7 @@ from ledgerline.functions.money import money, ratio, total
 from ledgerline.metrics import finance, growth
 from ledgerline.operators import keys, skew
 from ledgerline.operators.positions import SALE_HELD_OVER
-from ledgerline.plans.lifecycle import _PAIRS, retry_pairs
+from ledgerline.plans.lifecycle import PAIRS, retry_pairs
 from ledgerline.plans.registry import query
 from ledgerline.plans.views import with_views
 from ledgerline.schemas import DAILY_BANDS, fixed_rows
@@ -125,7 +125,7 @@ def metric_funding_friction(t):
 
 
 @query(
-    f"""WITH {_PAIRS} SELECT count(*) AS failures, count(success_at) AS recovered,
+    f"""WITH {PAIRS} SELECT count(*) AS failures, count(success_at) AS recovered,
 round(CAST(count(success_at) AS DOUBLE) / count(*), 6) AS recovery_rate,
 round(CAST(sum(datesub('minute', failed_at, success_at)) AS DOUBLE) / count(success_at), 6) AS mean_minutes_to_success
 FROM pairs WHERE event_type = 'error'"""

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.calendar import date_id
 from ledgerline.plans import views
 from ledgerline.plans.registry import query
 from ledgerline.plans.views import with_views
-from ledgerline.schemas import INPUT, STAR, contract, event_type_rows
+from ledgerline.schemas import INPUT, STAR, event_type_rows
 from ledgerline.session import scratch
 from ledgerline.sources import catalog, readers, sinks
-from ledgerline.sources.standin import EVENT_CODES, choose, event_fact
+from ledgerline.sources.standin import event_fact
 
 
 @query("SELECT * FROM orders")

@@ -272,7 +272,7 @@ def withdrawal_after_redemption(t):
     return positions.withdrawals(redeemed.filter(F.col("is_redeemed") & F.col("closed_on").isNotNull()))
 
 
-_PAIRS = """pairs AS (SELECT event_id, user_id AS wallet_id, ts AS failed_at, event_type, min(CASE WHEN event_type = 'purchase' THEN ts END)
+PAIRS = """pairs AS (SELECT event_id, user_id AS wallet_id, ts AS failed_at, event_type, min(CASE WHEN event_type = 'purchase' THEN ts END)
 OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS success_at
 FROM events WHERE event_type IN ('purchase', 'error'))"""
 
@@ -285,7 +285,7 @@ def retry_pairs(t):
 
 
 @query(
-    f"""WITH {_PAIRS} SELECT event_id, wallet_id, failed_at, success_at, datesub('minute', failed_at, success_at) AS lag_minutes
+    f"""WITH {PAIRS} SELECT event_id, wallet_id, failed_at, success_at, datesub('minute', failed_at, success_at) AS lag_minutes
 FROM pairs WHERE event_type = 'error'"""
 )
 def withdrawal_retry_pairs(t):

@@ -12,7 +12,6 @@ from ledgerline.functions import calendar as cal
 from ledgerline.functions.draws import uniform
 from ledgerline.functions.money import money, ratio, signed, total
 from ledgerline.operators import keys, lifecycle, positions, sampling, skew
-from ledgerline.plans import views
 from ledgerline.plans.registry import query
 from ledgerline.plans.views import draw, with_views
 from ledgerline.schemas import ACQUISITION_CHANNELS, event_type_rows

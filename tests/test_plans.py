@@ -1,7 +1,6 @@
 """What the physical plans must look like."""
 
 import pytest
-from conftest import rows  # noqa: F401
 
 from ledgerline.plans.registry import load_all
 
