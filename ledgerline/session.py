@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -48,14 +51,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Only a session without ``spark.checkpoint.dir`` (a local test) gets a
-    temporary folder of this machine.
+    Only a local master without ``spark.checkpoint.dir`` (a test) gets a temporary folder of this
+    machine, removed at exit. On a cluster the executors would not see one, so that is an error.
     """
     global _local_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master or 'the cluster'} share")
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="ledgerline-")
+            atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)
         base = _local_scratch
     return f"{base.rstrip('/')}/ledgerline/{name}-{uuid.uuid4().hex[:12]}"
 
