@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import url_filter
+from ledgerline.llm import url_filter, warc
 from ledgerline.llm.common import table
 
 URL_RULES = (
@@ -25,7 +25,30 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES, model)
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages to WARC archives and back."""
+    return warc.archive_pages(table(spark, folder, "pages", "page_id", "url", "html"))
+
+
+OP10_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+  FROM pages
+), d AS (
+  SELECT page_id, payload_bytes, hex, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+      (CAST('0x' || substr(hex, 1 + 5 * CAST(i // 4 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31
+      AS INTEGER), 1)), '') AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_url_filter": op6_url_filter,
+    "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_warc": OP10_SQL}
