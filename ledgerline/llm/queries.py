@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import url_filter, warc
+from ledgerline.llm import bpe, url_filter, warc
 from ledgerline.llm.common import table
 
 URL_RULES = (
@@ -18,6 +19,12 @@ URL_RULES = (
 )
 
 
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole text to ids and back."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return bpe.tokens(docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's url against the rules; the classifier judges the others."""
     pages = table(spark, folder, "pages", "page_id", "url")
@@ -48,6 +55,7 @@ FROM d
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_bpe": op4_bpe,
     "op6_url_filter": op6_url_filter,
     "op10_warc": op10_warc,
 }
