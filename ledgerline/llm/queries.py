@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, url_filter, warc
+from ledgerline.llm import bpe, fingerprints, url_filter, warc
 from ledgerline.llm.common import table
 
 URL_RULES = (
@@ -32,6 +32,11 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES, model)
 
 
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Bottom-k sketches of every text, its edited text and the next text."""
+    return fingerprints.edit_likeness(table(spark, folder, "documents", "doc_id", "text"))
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Pages to WARC archives and back."""
     return warc.archive_pages(table(spark, folder, "pages", "page_id", "url", "html"))
@@ -57,6 +62,7 @@ FROM d
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op6_url_filter": op6_url_filter,
+    "op9_fingerprints": op9_fingerprints,
     "op10_warc": op10_warc,
 }
 ORACLES: dict[str, str] = {"op10_warc": OP10_SQL}
