@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, fingerprints, url_filter, warc
+from ledgerline.llm import bpe, fingerprints, resampling, url_filter, warc
 from ledgerline.llm.common import table
 
 URL_RULES = (
@@ -19,6 +20,17 @@ URL_RULES = (
 )
 
 
+GOOD = (F.col("quality") == 1) & (F.col("toxic") == 0)
+
+
+def op1_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents kept: labelled good ones are the target."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    labels = table(spark, folder, "labels", "doc_id", "quality", "toxic")
+    kept = resampling.resample(docs, labels, GOOD)
+    return kept.select("doc_id", "log_weight", "sample_key", "n_features")
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every whole text to ids and back."""
     docs = table(spark, folder, "documents", "doc_id", "text")
@@ -60,6 +72,7 @@ FROM d
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_importance_resampling": op1_importance_resampling,
     "op4_bpe": op4_bpe,
     "op6_url_filter": op6_url_filter,
     "op9_fingerprints": op9_fingerprints,

@@ -32,6 +32,7 @@ from ledgerline.session import scratch
 
 ARCHIVE_BYTES = 16 << 20  # records of an archive before compression; a larger record has its own
 BLOCK = 1 << 20
+MAX_TASKS = 50_000  # archives are dealt to as many tasks as there are archives, up to this
 DATE = "2000-01-01T00:00:00Z"  # one date for all records, so that archives can be compared
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -208,7 +209,7 @@ def normalise(manifest: DataFrame, source: str, target: str) -> DataFrame:
                         ["archive", "offset", "length", "key", "record_type"],
                     )
 
-    spread = manifest.select("archive").repartition(F.col("archive"))
+    spread = manifest.select("archive").repartition(max(1, min(manifest.count(), MAX_TASKS)))
     return stored(spread.mapInArrow(rewrite, INDEX), "warc-index")
 
 
@@ -248,7 +249,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     ["key", "payload_bytes", "payload_digest", "record_type", "refers_to"],
                 )
 
-    return index.select("archive", "offset", "length").mapInArrow(read, RECORD)
+    tasks = max(1, min(index.select("archive").distinct().count(), MAX_TASKS))
+    spread = index.select("archive", "offset", "length").repartitionByRange(tasks, "archive", "offset")
+    return spread.sortWithinPartitions("archive", "offset").mapInArrow(read, RECORD)
 
 
 def archive_pages(
