@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, fingerprints, resampling, url_filter, warc
+from ledgerline.llm import bpe, fingerprints, line_dedup, resampling, url_filter, warc
 from ledgerline.llm.common import table
 
 URL_RULES = (
@@ -44,6 +44,41 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES, model)
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the repeated chunks of lines."""
+    return line_dedup.dedup_lines(table(spark, folder, "documents", "doc_id", "text"))
+
+
+OP7_SQL = """
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), h AS (
+  SELECT *, list_transform(lines, lambda s: CAST('0x' || substr(md5(s), 1, 7) AS BIGINT)) AS h FROM d
+), s AS (
+  SELECT doc_id, lines, list_prepend(1, list_filter(range(2, len(lines) + 1), lambda i:
+    ((CASE WHEN i >= 3 THEN h[i - 2] ELSE 0 END) * 131 + h[i - 1]) % 1000003 % 4 = 0)) AS starts
+  FROM h
+), k AS (
+  SELECT doc_id, lines, starts, unnest(range(1, len(starts) + 1)) AS k FROM s
+), c AS (
+  SELECT doc_id, k, starts[k] AS a, coalesce(starts[k + 1], len(lines) + 1) AS b,
+    array_to_string(lines[starts[k] : coalesce(starts[k + 1], len(lines) + 1) - 1], chr(10)) AS body
+  FROM k
+), r AS (
+  SELECT doc_id, a, b FROM (
+    SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, k) AS n FROM c
+    WHERE b - a >= 2 AND regexp_matches(body, '[^ \\n]')
+  ) WHERE n > 1
+), g AS (
+  SELECT doc_id, flatten(list(range(a, b))) AS removed FROM r GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(lines) AS INTEGER) AS n_lines, CAST(coalesce(len(removed), 0) AS INTEGER) AS n_removed,
+  array_to_string(list_transform(list_filter(range(1, len(lines) + 1), lambda i:
+    NOT list_contains(coalesce(removed, []), i)), lambda i: lines[i]), chr(10)) AS text
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+
 def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Bottom-k sketches of every text, its edited text and the next text."""
     return fingerprints.edit_likeness(table(spark, folder, "documents", "doc_id", "text"))
@@ -75,7 +110,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op4_bpe": op4_bpe,
     "op6_url_filter": op6_url_filter,
+    "op7_line_dedup": op7_line_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {"op10_warc": OP10_SQL}
+ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL, "op10_warc": OP10_SQL}
