@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, fingerprints, line_dedup, resampling, url_filter, warc
+from ledgerline.llm import bpe, fingerprints, line_dedup, resampling, simhash, url_filter, warc
 from ledgerline.llm.common import table
 
 URL_RULES = (
@@ -37,6 +37,11 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.tokens(docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's url against the rules; the classifier judges the others."""
     pages = table(spark, folder, "pages", "page_id", "url")
@@ -109,6 +114,7 @@ FROM d
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op4_bpe": op4_bpe,
+    "op5_simhash": op5_simhash,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
     "op9_fingerprints": op9_fingerprints,
