@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, fingerprints, line_dedup, resampling, simhash, url_filter, warc
 from ledgerline.llm.common import table
@@ -20,7 +19,7 @@ URL_RULES = (
 )
 
 
-GOOD = (F.col("quality") == 1) & (F.col("toxic") == 0)
+GOOD = "quality = 1 AND toxic = 0"
 
 
 def op1_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:

@@ -149,12 +149,12 @@ def forest(members: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int
     """A spanning forest of the links among distinct fingerprints."""
     left, links = members, []
     while len(left):
-        root, left = left[0], left[1:]
-        queue = [root]
+        queue, left = [left[0]], left[1:]
         while queue and len(left):
-            near = np.bitwise_count(left ^ queue.pop()) <= distance
+            node = queue.pop(0)
+            near = np.bitwise_count(left ^ node) <= distance
             found, left = left[near], left[~near]
-            links += [(int(f), int(root)) for f in found]
+            links += [(int(f), int(node)) for f in found]
             queue += list(found)
     return links
 
