@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, fingerprints, line_dedup, resampling, simhash, url_filter, warc
+from ledgerline.llm import bpe, decontamination, fingerprints, line_dedup, resampling, simhash, url_filter, warc
 from ledgerline.llm.common import table
 
 URL_RULES = (
@@ -30,6 +30,12 @@ def op1_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "log_weight", "sample_key", "n_features")
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per document and benchmark item found in it."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return decontamination.find_items(docs, table(spark, folder, "benchmark", "item_id", "text"))
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every whole text to ids and back."""
     docs = table(spark, folder, "documents", "doc_id", "text")
@@ -112,6 +118,7 @@ FROM d
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
+    "op3_decontamination": op3_decontamination,
     "op4_bpe": op4_bpe,
     "op5_simhash": op5_simhash,
     "op6_url_filter": op6_url_filter,
