@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontamination, fingerprints, line_dedup, resampling, simhash, url_filter, warc
+from ledgerline.llm import bpe, decontamination, fingerprints, line_dedup, prefix_trees, resampling, simhash, suffix_buckets, url_filter, warc
 from ledgerline.llm.common import table
 
 URL_RULES = (
@@ -30,6 +30,39 @@ def op1_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "log_weight", "sample_key", "n_features")
 
 
+def op2_suffix_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the strings of 200 bytes that start elsewhere too."""
+    return suffix_buckets.remove_repeats(table(spark, folder, "documents", "doc_id", "text"), digest=True)
+
+
+OP2_SQL = """
+WITH d AS (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), w AS (
+  SELECT doc_id, s, md5(substr(x, 2 * s + 1, 400)) AS m
+  FROM (SELECT doc_id, x, unnest(range(0, n - 199)) AS s FROM d WHERE n >= 200)
+), r AS (
+  SELECT doc_id, s FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)
+), i AS (
+  SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 200 THEN 0 ELSE 1 END AS new FROM r
+), g AS (
+  SELECT doc_id, min(s) AS a, max(s) + 200 AS b
+  FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM i) GROUP BY doc_id, run
+), k AS (
+  SELECT doc_id, a, b, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS next, row_number() OVER (PARTITION BY doc_id ORDER BY a) AS o
+  FROM g
+), t AS (
+  SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, min(a) AS first,
+    string_agg(substr(x, 2 * b + 1, 2 * (coalesce(next, n) - b)), '' ORDER BY o) AS tail
+  FROM k JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN removed IS NULL THEN x ELSE substr(x, 1, 2 * first) || tail END)) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """A row per document and benchmark item found in it."""
     docs = table(spark, folder, "documents", "doc_id", "text")
@@ -89,6 +122,35 @@ FROM d LEFT JOIN g USING (doc_id)
 """
 
 
+def op8_prefix_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the windows of 20 words that start earlier too."""
+    return prefix_trees.remove_repeats(table(spark, folder, "documents", "doc_id", "text"), digest=True)
+
+
+OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), w AS (
+  SELECT doc_id, s, md5(array_to_string(words[s : s + 19], ' ')) AS m
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM d WHERE len(words) >= 20)
+), r AS (
+  SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY m ORDER BY doc_id, s) AS o FROM w) WHERE o > 1
+), c AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM r
+), g AS (
+  SELECT doc_id, list(p) AS gone FROM c GROUP BY doc_id
+), e AS (
+  SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM d
+), k AS (
+  SELECT e.doc_id, string_agg(words[e.p], ' ' ORDER BY e.p) AS kept
+  FROM e LEFT JOIN c ON e.doc_id = c.doc_id AND e.p = c.p WHERE c.p IS NULL GROUP BY e.doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
 def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Bottom-k sketches of every text, its edited text and the next text."""
     return fingerprints.edit_likeness(table(spark, folder, "documents", "doc_id", "text"))
@@ -118,12 +180,19 @@ FROM d
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
+    "op2_suffix_buckets": op2_suffix_buckets,
     "op3_decontamination": op3_decontamination,
     "op4_bpe": op4_bpe,
     "op5_simhash": op5_simhash,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
+    "op8_prefix_trees": op8_prefix_trees,
     "op9_fingerprints": op9_fingerprints,
     "op10_warc": op10_warc,
 }
-ORACLES: dict[str, str] = {"op7_line_dedup": OP7_SQL, "op10_warc": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op2_suffix_buckets": OP2_SQL,
+    "op7_line_dedup": OP7_SQL,
+    "op8_prefix_trees": OP8_SQL,
+    "op10_warc": OP10_SQL,
+}
