@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import stored
+
 MIN_LINES = 2
 MEAN_LINES = 4  # a chunk ends after one of so many lines
 FACTOR, MODULUS = 131, 1_000_003
@@ -67,7 +69,7 @@ def repeated_lines(
     found = chunks(docs, key, text, mean_lines).filter((F.col("n_lines") >= min_lines) & F.col("body").rlike(r"[^ \n]"))
     hashed = found.withColumn("_hash", F.xxhash64("body"))
     repeated = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select("_hash")
-    candidates = hashed.join(repeated, "_hash")
+    candidates = stored(hashed.join(repeated, "_hash"), "line-chunks")  # read twice, shuffled once
     at = F.struct("_key", "_print", "place")
     first = candidates.groupBy("_hash", "body").agg(F.min(at).alias("_first"), F.count("*").alias("_n"))
     # Equal hashes with other bytes fall apart here: the bodies themselves are joined.
