@@ -77,7 +77,7 @@ def majority_bits(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """key and its fingerprint as a long. No shuffle."""
+    """key, a hash of the text, and the fingerprint as a long. No shuffle."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", RUN_BYTES):
@@ -85,11 +85,17 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sh
             sizes = np.array([len(x) for x in each], "int64")
             flat = np.fromiter((h for x in each for h in x), "uint64", count=int(sizes.sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(majority_bits(flat, sizes).view("int64"))], ["key", "fp"]
+                [batch.column("key"), batch.column("print"), pa.array(majority_bits(flat, sizes).view("int64"))],
+                ["key", "print", "fp"],
             )
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "key long, fp long").withColumnRenamed("key", key)
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.select(F.col(key).cast("long").alias("key"), _print(text).alias("print"), body.alias("text"))
+    return rows.mapInArrow(run, "key long, print long, fp long").withColumnRenamed("key", key)
+
+
+def _print(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def _half(fp: Column, high: int) -> Column:
@@ -211,18 +217,46 @@ def links(fps: DataFrame, distance: int = DISTANCE, group: int = GROUP) -> DataF
     return keyed.mapInArrow(search, "u long, v long").filter("u <> v")
 
 
+def _linked(docs: DataFrame, key: str, text: str, shingle: int, distance: int, group: int) -> tuple[DataFrame, DataFrame]:
+    """The stored rows (key, print, fp), and (fp, root) of every fingerprint."""
+    rows = stored(fingerprints(docs, key=key, text=text, shingle=shingle), "simhash-rows")
+    nodes = stored(rows.select("fp").distinct(), "simhash-nodes")
+    roots = components(links(nodes, distance, group), "simhash-components")
+    placed = nodes.join(roots.withColumnRenamed("u", "fp"), "fp", "left")
+    return rows, placed.select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE,
     group: int = GROUP,
 ) -> DataFrame:
     """key, fingerprint (16 hexadecimal digits) and component_id, the smallest key linked to it."""
-    rows = stored(fingerprints(docs, key=key, text=text, shingle=shingle), "simhash-rows")
-    nodes = stored(rows.groupBy("fp").agg(F.min(key).alias("least")), "simhash-nodes")
-    roots = components(links(nodes.select("fp"), distance, group), "simhash-components")
-    placed = nodes.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rows, roots = _linked(docs, key, text, shingle, distance, group)
+    placed = rows.groupBy("fp").agg(F.min(key).alias("least")).join(roots, "fp")
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = placed.join(least, "root").select("fp", "component_id")
+    of_fp = roots.join(least, "root").select("fp", "component_id")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return rows.join(of_fp, "fp").select(key, hexed.alias("fingerprint"), "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE,
+    group: int = GROUP,
+) -> DataFrame:
+    """The documents that stay when of each component only the smallest key does; all columns.
+
+    A row without a key stays only when no row of its component has one. Rows of one key are told
+    apart by a hash of their text; of rows that repeat key and text one stays.
+    """
+    rows, roots = _linked(docs, key, text, shingle, distance, group)
+    place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("print"))
+    each = rows.groupBy("fp", key, "print").agg(F.count("*").alias("n"))
+    first = each.groupBy("fp").agg(F.min(F.struct(place.alias("place"), "n")).alias("first")).join(roots, "fp")
+    stay = first.groupBy("root").agg(F.min("first").alias("f"))
+    stay = stored(stay.select(F.col("f.place.key").alias("_key"), F.col("f.place.print").alias("_print"), F.col("f.n").alias("_n")), "simhash-stay")
+    printed = docs.withColumn("_print", _print(text))
+    same = F.col(f"d.{key}").cast("long").eqNullSafe(F.col("s._key")) & (F.col("d._print") == F.col("s._print"))
+    kept = printed.alias("d").join(stay.alias("s"), same).select("d.*", "s._n")
+    if stay.filter("_n > 1").limit(1).count():
+        kept = kept.filter("_n = 1").unionByName(kept.filter("_n > 1").dropDuplicates([key, "_print"]))
+    return kept.select(*docs.columns)
