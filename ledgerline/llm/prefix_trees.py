@@ -98,7 +98,7 @@ def remove_repeats(
     last = "kept_sha256" if digest else "kept"
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "z", repeats.RUN_BYTES // 4):
+        for batch in pieces(batches, "z", repeats.RUN_BYTES // 2):
             sizes, removed, kept = [], [], []
             for data, spans in zip(repeats.unpacked(batch.column("z")), batch.column("spans").to_pylist()):
                 own, at, left = data.split(), 0, []

@@ -34,7 +34,8 @@ from ledgerline.llm import words
 from ledgerline.llm.common import pieces, stored, text_bytes
 
 GROUP = 50_000  # contexts of one run that are compared in one task
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
+CHUNK = 3000  # contexts compared at a time, or one larger group
 PLACE_BITS = 31
 U = np.uint64
 
@@ -186,7 +187,7 @@ def contents(rows: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
     once = _join_texts(_packed_texts(rows), lists, "inner").dropDuplicates(["doc", "mark"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "z", RUN_BYTES // 4):
+        for batch in pieces(batches, "z", RUN_BYTES // 2):
             texts = pa.array(unpacked(batch.column("z")), pa.large_binary())
             lists = batch.column("wanted")
             flat = lists.flatten()
@@ -278,12 +279,19 @@ def grouped_spans(content: DataFrame, scheme: Scheme, resolve: Resolver) -> Data
         yield from solved(held)
 
     def solved(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if parts:
-            batch = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-            found = contexts_of(batch, scheme)
-            which, place = found.starts()
-            keep = resolve(found)
-            yield _runs_of(found, which[keep], place[keep], batch)
+        if not parts:
+            return
+        batch = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        cuts = [*(np.flatnonzero(np.diff(batch.column("h").to_numpy())) + 1).tolist(), batch.num_rows]
+        start = 0
+        for this, following in zip(cuts, [*cuts[1:], None]):
+            if following is None or following - start > CHUNK:
+                part = batch.slice(start, this - start)
+                found = contexts_of(part, scheme)
+                which, place = found.starts()
+                keep = resolve(found)
+                yield _runs_of(found, which[keep], place[keep], part)
+                start = this
 
     return content.repartition("h").sortWithinPartitions("h").mapInArrow(run, SPAN)
 
@@ -295,7 +303,7 @@ def window_rows(content: DataFrame, scheme: Scheme) -> DataFrame:
     """Every window of oversized groups by two hashes of its units."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "content", RUN_BYTES // 16):
+        for batch in pieces(batches, "content", RUN_BYTES // 4):
             found = contexts_of(batch, scheme)
             which, place = found.starts()
             units = found.values.astype("uint64") + U(1)

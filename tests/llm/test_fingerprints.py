@@ -69,4 +69,4 @@ def test_sketches_merge_and_compare(spark):
         f.resemblance(F.col("e"), F.col("e")), f.containment(F.col("e"), F.col("a")), f.distinct_shingles(F.col("e")),
     ).first()
     assert abs(r[0] - 0.25) < 0.13 and r[1] == 1.0 and abs(r[2] / 5996 - 1) < 0.3
-    assert tuple(r[3:]) == (1.0, 0.0, 0.0)
+    assert tuple(r[3:]) == (1.0, 1.0, 0.0)  # the empty set lies in every set
