@@ -42,6 +42,19 @@ def aum_daily(positions: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     )
 
 
+def aum_month_end(positions: DataFrame, months: DataFrame) -> DataFrame:
+    """AUM at the end of each of the months: movements per month, then a running sum over months."""
+    entry = F.struct(F.col("start_date").alias("date"), F.col("amount_invested").alias("delta"))
+    leave = F.struct(F.col("closed_on").alias("date"), (-F.col("amount_invested")).alias("delta"))
+    moved = positions.select(F.inline(F.array(entry, leave))).filter(F.col("date").isNotNull())
+    per_month = moved.groupBy(month_start(F.col("date")).alias("month")).agg(F.sum("delta").alias("delta"))
+    # Months asked for and months with movements are merged, so that the sum misses none of either.
+    asked = months.select("month", F.lit(True).alias("asked"))
+    so_far = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    summed = per_month.join(asked, "month", "full_outer").withColumn("aum", F.coalesce(F.sum("delta").over(so_far), F.lit(0)))
+    return summed.filter("asked").select("month", F.col("aum").cast("decimal(18,2)").alias("aum"))
+
+
 def net_deposits(cash: DataFrame) -> DataFrame:
     """Successful credits less successful debits per month."""
     moved = signed(F.col("amount"), F.col("direction"), F.col("status"))

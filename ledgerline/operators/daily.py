@@ -56,7 +56,16 @@ def run_day(events: DataFrame, day: dt.date, root: str) -> DataFrame:
     """Load one day on top of the day before."""
     spark = events.sparkSession
     todays = events.filter(within_day(F.col("ts"), day))
-    land_by_day(todays, F.lit(day), f"{root}/facts")
+    # Written as the day's own folder, so that a rerun also clears a day that has become empty.
+    overwrite(todays, f"{root}/facts/load_date={day}")
     delta = changes(todays)
     previous = spark.read.schema(delta.schema).parquet(f"{root}/state/{day - dt.timedelta(days=1)}")
     return overwrite(combine(previous, delta), f"{root}/state/{day}")
+
+
+def rerun_from(events: DataFrame, day: dt.date, last: dt.date, root: str) -> DataFrame:
+    """Load a corrected day again, and all later days, whose states rest on it."""
+    while day <= last:
+        state = run_day(events, day, root)
+        day += dt.timedelta(days=1)
+    return state

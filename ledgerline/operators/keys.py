@@ -12,7 +12,14 @@ from ledgerline.session import scratch
 _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row of its partition here
 
 
-def dense_key(df: DataFrame, order: Sequence[str], name: str, *, after: int = 0) -> DataFrame:
+def _once(df: DataFrame, name: str) -> DataFrame:
+    """The frame stored in the scratch folder, so that further passes read files."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dense_key(df: DataFrame, order: Sequence[str], name: str, *, after: int = 0, bare: bool = False) -> DataFrame:
     """Number the rows after+1, after+2, ... along ``order`` (ascending, nulls first).
 
     Rows are range-partitioned and sorted inside their partition, then written to the scratch
@@ -20,10 +27,14 @@ def dense_key(df: DataFrame, order: Sequence[str], name: str, *, after: int = 0)
     before. The written table fixes which row lies where: no retry or lost executor can move
     one afterwards, and ``df`` is not computed again for the counts.
 
+    Choosing the ranges takes a pass of its own. ``df`` is stored before it, so that joins in it
+    run once; ``bare`` says that ``df`` only reads and filters files, which is as cheap.
+
     ``order`` must end in a tiebreak. As it takes part in the ranges, a value that a third of
     the rows share is spread over several partitions.
     """
     spark, order = df.sparkSession, list(order)
+    df = df if bare else _once(df, f"rows-{name}")
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -48,9 +59,10 @@ def conditional_key(
     df: DataFrame, condition: Column, order: Sequence[str], name: str, *, after: int = 0
 ) -> DataFrame:
     """Dense keys for the rows that meet ``condition``; the others get null."""
-    keyed = dense_key(df.filter(condition), order, name, after=after)
-    rest = df.filter(~F.coalesce(condition, F.lit(False)))
-    return keyed.unionByName(rest.withColumn(name, F.lit(None).cast("long")))
+    once = _once(df.withColumn("_keyed", F.coalesce(condition, F.lit(False))), f"rows-{name}")
+    keyed = dense_key(once.filter("_keyed"), order, name, after=after, bare=True)
+    rest = once.filter("NOT _keyed").withColumn(name, F.lit(None).cast("long"))
+    return keyed.unionByName(rest).drop("_keyed")
 
 
 def high_water_mark(df: DataFrame, key: str) -> DataFrame:
@@ -64,10 +76,26 @@ def continue_keys(stored: DataFrame, arrivals: DataFrame, order: Sequence[str],
     return dense_key(arrivals, order, key, after=mark)
 
 
-def ntile(df: DataFrame, order: Sequence[str], tiles: int, name: str) -> DataFrame:
+def ntile(df: DataFrame, order: Sequence[str], tiles: int, name: str, *, bare: bool = False) -> DataFrame:
     """Global ntile through dense ranks, so that no task sorts the whole table."""
-    ranked = dense_key(df, order, "_rank")
-    small, large = divmod(ranked.count(), tiles)
+    return _tiled(dense_key(df, order, "_rank", bare=bare), tiles, name)
+
+
+def ntiles(df: DataFrame, key: str, columns: dict[str, str], tiles: int) -> DataFrame:
+    """A global ntile per column, ties by the key, which is unique: {column: name of its tile}.
+
+    The frame is stored and counted once; only key and column are sorted for each tile.
+    """
+    once = _once(df, f"rows-{key}")
+    n, out = once.count(), once
+    for column, name in columns.items():
+        ranked = dense_key(once.select(column, key), [column, key], "_rank", bare=True)
+        out = out.join(_tiled(ranked, tiles, name, n).select(key, name), key)
+    return out
+
+
+def _tiled(ranked: DataFrame, tiles: int, name: str, n: int | None = None) -> DataFrame:
+    small, large = divmod(ranked.count() if n is None else n, tiles)
     border = large * (small + 1)
     rank = F.col("_rank") - 1
     tile = F.when(rank < border, F.floor(rank / (small + 1))).otherwise(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import minutes_between, ntz
-from ledgerline.operators.skew import DETECT, hot_keys, running
+from ledgerline.operators.skew import running
 
 
 def first_times(df: DataFrame, user: str, ts: str, kind: str, kinds: dict[str, str]) -> DataFrame:
@@ -66,11 +66,10 @@ def with_last_login(
     tiebreak: str,
     is_login: Column,
     name: str = "last_login_at",
-    hot: DataFrame | str | None = DETECT,
 ) -> DataFrame:
     """The latest login at or before each event of the same user (an as-of join with itself)."""
     login_time = F.when(is_login, F.col(ts))
-    return running(df, [user], [ts, tiebreak], {name: ("max", login_time, True)}, hot=hot)
+    return running(df, [user], [ts, tiebreak], {name: ("max", login_time, True)})
 
 
 def retry_pairs(
@@ -89,18 +88,13 @@ def sessions(
     tiebreak: str,
     gap_minutes: int,
     measures: dict[str, Column],
-    hot: DataFrame | str | None = DETECT,
 ) -> DataFrame:
     """Cut each user's events where the pause exceeds the gap; one row per session."""
-    if hot is DETECT:
-        hot = hot_keys(df, [user])
-    before = running(df, [user], [ts, tiebreak], {"_before": ("max", F.col(ts), False)}, hot=hot)
+    before = running(df, [user], [ts, tiebreak], {"_before": ("max", F.col(ts), False)})
     starts = F.col("_before").isNull() | (
         F.col(ts) > F.col("_before") + F.make_dt_interval(mins=F.lit(gap_minutes))
     )
-    numbered = running(
-        before, [user], [ts, tiebreak], {"session_no": ("sum", starts.cast("long"), True)}, hot=hot
-    )
+    numbered = running(before, [user], [ts, tiebreak], {"session_no": ("sum", starts.cast("long"), True)})
     return numbered.groupBy(user, "session_no").agg(
         F.min(ts).alias("session_start"),
         F.max(ts).alias("session_end"),

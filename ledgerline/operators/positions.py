@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import midnight, plus
-from ledgerline.functions.draws import triangular_int, uniform, uniform_int
 from ledgerline.functions.money import percent_of, simple_interest_value
+from ledgerline.operators.skew import running
 
 
 def maturity_date(start: Column, tenure: Column) -> Column:
@@ -46,20 +46,16 @@ def active_on(start: Column, closed: Column, day: Column) -> Column:
     return (start <= day) & (closed.isNull() | (closed > day))
 
 
-# Hours from closing a position to the credit of its proceeds, and the shortest,
-# usual and longest days of a sale and of the wallet withdrawal that follows a redemption.
+# Hours from closing a position to the credit of its proceeds, and the days after
+# which a redeemed open-ended position counts as sold.
 PROCEEDS_DELAY = {"vest": 0, "early_withdrawal": 24, "sale": 24}
-SALE_HELD_OVER, SALE_SHORTEST, SALE_USUAL = 200, 30, 180
-WITHDRAWAL_LAG = (1, 14, 90)
-RETRY_LAG = (2, 15)
-FIRST_TRY_SHARE = 0.9
+SALE_HELD_OVER = 200
 
 
-def sale_date(start: Column, maturity: Column, redeemed: Column, key: Column, as_of: dt.date) -> Column:
+def sale_date(start: Column, maturity: Column, redeemed: Column, as_of: dt.date) -> Column:
     """When an open-ended position, held over 200 days and redeemed, was sold."""
     held = F.datediff(F.lit(as_of), start)
-    days = triangular_int(uniform("sale", key), F.lit(SALE_SHORTEST), F.least(F.lit(SALE_USUAL), held), held)
-    return F.when(redeemed & maturity.isNull() & (held > SALE_HELD_OVER), F.date_add(start, days))
+    return F.when(redeemed & maturity.isNull() & (held > SALE_HELD_OVER), F.date_add(start, SALE_HELD_OVER))
 
 
 def proceeds(positions: DataFrame, delays: dict[str, int] = PROCEEDS_DELAY) -> DataFrame:
@@ -84,29 +80,22 @@ def proceeds(positions: DataFrame, delays: dict[str, int] = PROCEEDS_DELAY) -> D
     )
 
 
-def withdrawals(redeemed: DataFrame) -> DataFrame:
-    """Wallet withdrawals after a redemption (columns position_key, closed_on, amount_invested).
+def next_debit(closed: DataFrame, debits: DataFrame) -> DataFrame:
+    """Each closed position with the first later debit of its owner.
 
-    Most succeed at the first attempt; the others fail then and succeed some days later.
+    Both are put in one order per user and read from the last to the first, so that a user with
+    many of both does not give all their pairs.
     """
-    key = F.col("position_key")
-    # The draws become columns first, so that each is computed once per position.
-    drawn = redeemed.select(
-        "position_key",
-        "amount_invested",
-        "closed_on",
-        triangular_int(uniform("withdrawal", key), *[F.lit(d) for d in WITHDRAWAL_LAG]).alias("lag"),
-        uniform_int(uniform("retry", key), *[F.lit(d) for d in RETRY_LAG]).alias("retry"),
-        (uniform("attempt", key) < FIRST_TRY_SHARE).alias("first_try"),
-    ).withColumn("attempt_at", plus(midnight(F.col("closed_on")), days=F.col("lag") + 1))
-    first_try, attempt_at = F.col("first_try"), F.col("attempt_at")
-    success = F.struct(
-        F.lit("success").alias("status"),
-        F.when(first_try, attempt_at).otherwise(plus(attempt_at, days=F.col("retry"))).alias("withdrawn_at"),
+    both = closed.select("user_id", F.col("closed_at").alias("at"), F.col("position_key").alias("tie"), F.lit(None).cast("timestamp_ntz").alias("debit_at"))
+    both = both.withColumn("kind", F.lit(1)).unionByName(
+        debits.select(
+            "user_id", F.col("event_time").alias("at"), F.col("transaction_id").cast("string").alias("tie"),
+            F.col("event_time").alias("debit_at"), F.lit(0).alias("kind"),
+        )
     )
-    failure = F.struct(F.lit("failure").alias("status"), attempt_at.alias("withdrawn_at"))
-    attempts = F.when(first_try, F.array(success)).otherwise(F.array(failure, success))
-    return drawn.select("position_key", "amount_invested", F.inline(attempts))
+    # Of a debit and a closing at one time the debit sorts first: only later ones count.
+    seen = running(both, ["user_id"], ["at", "kind", "tie"], {"withdrawn_at": ("min", F.col("debit_at"), False)}, reverse=True)
+    return seen.filter("kind = 1").select(F.col("tie").alias("position_key"), F.col("at").alias("closed_at"), "withdrawn_at")
 
 
 def first_per_user(positions: DataFrame, order: list[Column]) -> DataFrame:

@@ -86,5 +86,13 @@ def missing_codes(expected: DataFrame, found: DataFrame, code: str, check: str,
     return _named(counted, check, table)
 
 
+def enforce(found: DataFrame) -> DataFrame:
+    """Stop a load: raise when a check of the report has bad rows, naming each; else pass it on."""
+    bad = found.filter("n_bad > 0").orderBy("table_name", "check_name").collect()  # one row per check
+    if bad:
+        raise ValueError("; ".join(f"{r.check_name} on {r.table_name}: {r.n_bad} of {r.n_rows} rows" for r in bad))
+    return found
+
+
 def report(checks: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)

@@ -29,9 +29,10 @@ def sample_stratified(
 def cumulative(weights: Sequence[tuple]) -> list[tuple]:
     """(..., name, weight) rows -> (..., name, lo, hi) intervals per leading columns.
 
-    The borders are rounded to 6 digits, the last one is 1.
+    The borders are rounded to 6 digits. The last interval of weight ends at 1 whatever the
+    rounding, so that every draw falls into one.
     """
-    out, totals = [], {}
+    out, totals, last = [], {}, {}
     for *parent, name, weight in weights:
         totals[tuple(parent)] = totals.get(tuple(parent), 0.0) + weight
     reached: dict[tuple, float] = {}
@@ -39,7 +40,11 @@ def cumulative(weights: Sequence[tuple]) -> list[tuple]:
         lo = reached.get(tuple(parent), 0.0)
         hi = round(lo + weight / totals[tuple(parent)], 6)
         reached[tuple(parent)] = hi
+        if weight > 0:
+            last[tuple(parent)] = len(out)
         out.append((*parent, name, lo, hi))
+    for at in last.values():
+        out[at] = (*out[at][:-1], 1.0)
     return out
 
 

@@ -1,8 +1,7 @@
-"""Hot keys: finding them, joining past them, and running totals that split them.
+"""Running totals per key that no single task has to sort whole.
 
-A key is hot when it holds at least ``skew_min_rows`` rows. At most ``MAX_HOT_KEYS`` keys,
-the largest ones, are ever fetched or broadcast; every other key holds under
-1/MAX_HOT_KEYS of the rows and needs no special care.
+Every key takes the same path, whatever its size, the null key included: rows run inside their
+minute, minutes inside their day, days inside their key. What came before is carried over.
 """
 
 from __future__ import annotations
@@ -12,48 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.session import skew_min_rows
-
-MAX_HOT_KEYS = 10_000
-DETECT = "detect"  # let an operator look for hot keys itself
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
-    """The largest keys of ``df`` as a small frame, or None when no key is hot."""
-    spark = df.sparkSession
-    floor = skew_min_rows(spark) if min_rows is None else min_rows
-    found = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") >= floor)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys)
-    )
-    rows = found.dropna().collect()
-    return spark.createDataFrame(rows, found.schema) if rows else None
-
-
-def skew_join(
-    fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", min_rows: int | None = None
-) -> DataFrame:
-    """Join facts to a dimension that is unique on ``on`` (inner or left).
-
-    Facts of hot keys stay where they are and meet a broadcast of the few dimension rows they
-    need (one per hot key); all other facts take the ordinary join.
-    """
-    hot = hot_keys(fact, on, min_rows)
-    if hot is None:
-        return fact.join(dim, list(on), how)
-    hot = F.broadcast(hot)
-    few = dim.join(hot, list(on), "left_semi")
-    return (
-        fact.join(hot, list(on), "left_anti")
-        .join(dim, list(on), how)
-        .unionByName(fact.join(hot, list(on), "left_semi").join(F.broadcast(few), list(on), how))
-    )
-
-
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 
 
@@ -72,19 +29,17 @@ def running(
     scans: dict[str, tuple[str, Column, bool]],
     *,
     reverse: bool = False,
-    unit: str = "hour",
-    hot: DataFrame | str | None = DETECT,
 ) -> DataFrame:
     """Running aggregates per key along ``order``.
 
     ``scans`` maps an output column to (sum | min | max | count, value, include current row).
     ``order`` starts with a timestamp and ends with a tiebreak. With ``reverse`` the rows are
-    read from the last to the first.
+    read from the last to the first. Rows without a time form a minute of their own, which comes
+    first, or last in reverse.
 
-    Ordinary keys take one window. The rows of a hot key are cut into time chunks: each chunk
-    runs its own window, and what came before the chunk is added from the running aggregate of
-    the chunk totals. So no single task ever sorts all the rows of a hot key. Operators that
-    run several passes over the same keys look for the hot ones once and hand them in.
+    The minute of a row depends on the row alone, so every branch of the plan cuts alike. A key
+    with a third of all rows is spread over all its minutes; the windows over minutes of a day
+    and over days of a key hold one row for each of them.
     """
     keys, order = list(keys), list(order)
     names = {out: f"_in_{out}" for out in scans}
@@ -101,43 +56,41 @@ def running(
     def frame(window, inclusive: bool):
         return window.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
 
-    def windowed(source: DataFrame, by: list[str]) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy(*[direction(c) for c in order])
-        return source.withColumns(
-            {
-                out: _AGG[kind](F.col(names[out])).over(frame(window, inclusive))
-                for out, (kind, _, inclusive) in scans.items()
-            }
-        )
+    def summed(kind: str) -> str:
+        return "sum" if kind == "count" else kind  # counts of parts are added up
 
-    if hot is DETECT:
-        hot = hot_keys(df, keys)
-    if hot is None:
-        return windowed(df, keys).withColumns(outcome).drop(*names.values())
+    def parts(source: DataFrame, by: str, into: str, prefix: str) -> DataFrame:
+        """One row per minute or day, with its aggregates."""
+        return source.groupBy(by).agg(
+            *[_AGG[kind if prefix == "_in_" else summed(kind)](f"{prefix}{out}").alias(f"{into}{out}") for out, (kind, _, _) in scans.items()]
+        )
 
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    marked = df.join(hot, keys, "left").withColumn(
-        "_chunk", F.when(F.col("_hot"), F.date_trunc(unit, F.col(order[0])))
-    )
-    chunk_totals = (
-        marked.filter("_hot")
-        .groupBy(*keys, "_chunk")
-        .agg(*[_AGG[kind](F.col(names[out])).alias(f"_all_{out}") for out, (kind, _, _) in scans.items()])
-    )
-    along = frame(Window.partitionBy(*keys).orderBy(direction("_chunk")), False)
-    carry = chunk_totals.select(
-        *keys,
+    def carried(source: DataFrame, by: str, along: str, column: str, into: str) -> DataFrame:
+        """What the parts before each part add up to."""
+        window = frame(Window.partitionBy(by).orderBy(direction(along)), False)
+        return source.withColumns({f"{into}{out}": _AGG[summed(kind)](f"{column}{out}").over(window) for out, (kind, _, _) in scans.items()})
+
+    # Structs are never null, so that null keys and times join like others.
+    key = F.struct(*keys)
+    span = F.struct(key.alias("key"), F.to_date(order[0]).alias("day"))
+    chunk = F.struct(span.alias("span"), F.date_trunc("minute", F.col(order[0]).cast("timestamp_ntz")).alias("minute"))
+    cut = df.withColumn("_chunk", chunk)
+
+    minutes = parts(cut, "_chunk", "_minute_", "_in_").withColumn("_span", F.col("_chunk.span"))
+    days = parts(minutes, "_span", "_day_", "_minute_").withColumn("_key", F.col("_span.key"))
+    days = carried(days, "_key", "_span.day", "_day_", "_days_").select("_span", *[f"_days_{out}" for out in scans])
+    minutes = carried(minutes, "_span", "_chunk.minute", "_minute_", "_minutes_").join(days, "_span")
+    carry = minutes.select(
         "_chunk",
-        *[
-            # Counts of chunks are added up, whatever was counted inside them.
-            _AGG["sum" if kind == "count" else kind](F.col(f"_all_{out}")).over(along).alias(f"_carry_{out}")
-            for out, (kind, _, _) in scans.items()
-        ],
+        *[_merge(kind, F.col(f"_days_{out}"), F.col(f"_minutes_{out}")).alias(f"_carry_{out}") for out, (kind, _, _) in scans.items()],
+    )
+
+    window = Window.partitionBy("_chunk").orderBy(*[direction(c) for c in order])
+    local = cut.withColumns(
+        {out: _AGG[kind](names[out]).over(frame(window, inclusive)) for out, (kind, _, inclusive) in scans.items()}
     )
-    joined = windowed(marked, [*keys, "_chunk"]).join(carry, [*keys, "_chunk"], "left")
-    merged = joined.withColumns(
+    merged = local.join(carry, "_chunk").withColumns(
         {out: _merge(kind, F.col(f"_carry_{out}"), F.col(out)) for out, (kind, _, _) in scans.items()}
     )
-    extra = [*names.values(), *[f"_carry_{out}" for out in scans], "_hot", "_chunk"]
     kept = [c for c in df.columns if c not in names.values()]
-    return merged.withColumns(outcome).drop(*extra).select(*kept, *scans)
+    return merged.withColumns(outcome).select(*kept, *scans)

@@ -4,22 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.functions.draws import triangular_int, uniform, uniform_int
+from ledgerline.functions.calendar import month_start
+from ledgerline.functions.draws import uniform
+from ledgerline.functions.money import ratio
 from ledgerline.operators import sampling
 from ledgerline.plans.registry import query
 from ledgerline.plans.views import draw, with_views
-from ledgerline.schemas import (
-    CITY_WEIGHTS,
-    COUNTRY_WEIGHTS,
-    EARLY_WITHDRAWAL_LEAD,
-    REGION_WEIGHTS,
-)
 from ledgerline.sources import standin
-from ledgerline.sources.standin import choose
 
-# Market segment -> sampling share, early-withdrawal probability, login range.
+
+# Market segment -> sampling share, and its usual range of monthly logins.
 SHARES = {"BUILDING": 0.6, "MACHINERY": 0.3, "HOUSEHOLD": 0.1}
-EARLY_ODDS = {101: 0.05, 102: 0.15, 103: 0.2, 104: 0.3}
 LOGIN_RANGES = {
     "BUILDING": (20, 40),
     "MACHINERY": (15, 30),
@@ -55,74 +50,51 @@ def assign_weighted(t):
 
 
 @query(
-    f"""WITH countries(country, lo, hi) AS (VALUES ('UK', 0.0, 0.8), ('Ireland', 0.8, 1.0)),
-regions(country, region, lo, hi) AS (VALUES ('UK', 'Greater London', 0.0, 0.3), ('UK', 'Wales', 0.3, 0.45),
- ('UK', 'Scotland', 0.45, 0.6), ('UK', 'North West', 0.6, 0.7), ('UK', 'South East', 0.7, 0.8), ('UK', 'Midlands', 0.8, 1.0),
- ('Ireland', 'Dublin Region', 0.0, 0.4), ('Ireland', 'Rest of Ireland', 0.4, 1.0)),
-cities(region, city, lo, hi) AS (VALUES ('Greater London', 'London', 0.0, 1.0), ('Wales', 'Cardiff', 0.0, 0.5),
- ('Wales', 'Swansea', 0.5, 0.8), ('Wales', 'Newport', 0.8, 1.0), ('Scotland', 'Edinburgh', 0.0, 0.4),
- ('Scotland', 'Glasgow', 0.4, 0.8), ('Scotland', 'Aberdeen', 0.8, 1.0), ('North West', 'Manchester', 0.0, 0.5),
- ('North West', 'Liverpool', 0.5, 0.8), ('North West', 'Chester', 0.8, 1.0), ('South East', 'Brighton', 0.0, 0.4),
- ('South East', 'Reading', 0.4, 0.75), ('South East', 'Southampton', 0.75, 1.0), ('Midlands', 'Birmingham', 0.0, 0.45),
- ('Midlands', 'Coventry', 0.45, 0.65), ('Midlands', 'Leicester', 0.65, 0.85), ('Midlands', 'Nottingham', 0.85, 1.0),
- ('Dublin Region', 'Dublin', 0.0, 1.0), ('Rest of Ireland', 'Cork', 0.0, 0.4), ('Rest of Ireland', 'Galway', 0.4, 0.65),
- ('Rest of Ireland', 'Limerick', 0.65, 0.85), ('Rest of Ireland', 'Waterford', 0.85, 1.0)),
-d AS (SELECT c_custkey, {draw('country', 'c_custkey')} AS u1, {draw('region', 'c_custkey')} AS u2,
- {draw('city', 'c_custkey')} AS u3 FROM customer)
-SELECT c_custkey, countries.country, regions.region, city FROM d JOIN countries ON u1 >= countries.lo AND u1 < countries.hi
-JOIN regions ON regions.country = countries.country AND u2 >= regions.lo AND u2 < regions.hi
-JOIN cities ON cities.region = regions.region AND u3 >= cities.lo AND u3 < cities.hi"""
+    """SELECT c_custkey, r_name AS region, n_name AS country FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
+LEFT JOIN region ON r_regionkey = n_regionkey"""
 )
 def assign_hierarchical(t):
-    who = F.col("c_custkey")
-    located = sampling.range_bucket(t.customer.select(who), uniform("country", who), COUNTRY_WEIGHTS, "country")
-    located = sampling.range_bucket(located, uniform("region", who), REGION_WEIGHTS, "region", parent="country")
-    return sampling.range_bucket(located, uniform("city", who), CITY_WEIGHTS, "city", parent="region")
+    """Each customer's recorded place at both levels; one without a known nation keeps nulls."""
+    nations = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"), F.col("n_regionkey").alias("r_regionkey"))
+    places = nations.join(t.region.select("r_regionkey", F.col("r_name").alias("region")), "r_regionkey", "left")
+    return t.customer.select("c_custkey", "c_nationkey").join(places, "c_nationkey", "left").select("c_custkey", "region", "country")
 
 
 @query(
     with_views("positions")
-    + f"""SELECT position_key, plan_id, {draw('early', 'position_key')} <=
-CASE plan_id WHEN 101 THEN 0.05 WHEN 102 THEN 0.15 WHEN 103 THEN 0.2 ELSE 0.3 END AS withdraws_early FROM positions"""
+    + """SELECT plan_id, count(*) AS positions, count(*) FILTER (WHERE is_withdrawn_early) AS withdrawn_early,
+round(CAST(count(*) FILTER (WHERE is_withdrawn_early) AS DOUBLE) / count(*), 6) AS share FROM positions GROUP BY 1"""
 )
 def assign_bernoulli(t):
-    odds = choose(F.col("plan_id"), EARLY_ODDS)
-    flag = uniform("early", F.col("position_key")) <= odds
-    return standin.positions(t).select("position_key", "plan_id", flag.alias("withdraws_early"))
+    """The odds of an early withdrawal as recorded, per plan."""
+    early = F.count_if("is_withdrawn_early")
+    return standin.positions(t).groupBy("plan_id").agg(
+        F.count("*").alias("positions"), early.alias("withdrawn_early"), ratio(early, F.count("*")).alias("share")
+    )
 
 
 @query(
-    f"""SELECT c_custkey, CAST(lo + floor({draw('logins', 'c_custkey')} * (hi - lo)) AS INTEGER) AS monthly_logins FROM customer
-JOIN (VALUES ('BUILDING', 20, 40), ('MACHINERY', 15, 30), ('HOUSEHOLD', 8, 15), ('FURNITURE', 4, 10), ('AUTOMOBILE', 0, 2))
-r(segment, lo, hi) ON segment = c_mktsegment"""
+    """SELECT c_custkey, CAST(date_trunc('month', ts) AS DATE) AS month, count(*) AS monthly_logins FROM customer
+JOIN events ON user_id = c_custkey AND event_type = 'view' GROUP BY ALL"""
 )
 def assign_uniform_int(t):
-    segment = F.col("c_mktsegment")
-    lo = choose(segment, {s: r[0] for s, r in LOGIN_RANGES.items()})
-    hi = choose(segment, {s: r[1] for s, r in LOGIN_RANGES.items()})
-    logins = uniform_int(uniform("logins", F.col("c_custkey")), lo, hi)
-    return t.customer.select("c_custkey", logins.alias("monthly_logins"))
-
-
-def early_lead_days(plan, key):
-    """Lead in days of an early withdrawal, a triangular draw per plan; null when open-ended."""
-    left, mode, right = (
-        choose(plan, {row[0]: row[i] for row in EARLY_WITHDRAWAL_LEAD}) for i in (1, 2, 3)
-    )
-    return triangular_int(uniform("lead", key), left, mode, right)
+    """Logins per customer and month as recorded."""
+    logins = t.events.filter(F.col("event_type") == "view").groupBy(
+        F.col("user_id").alias("c_custkey"), month_start(F.col("ts")).alias("month")
+    ).agg(F.count("*").alias("monthly_logins"))
+    return logins.join(t.customer.select("c_custkey"), "c_custkey")
 
 
-# The SQL form of the draw above; early_withdrawal_request uses it too.
-LEAD_SQL = f"""CASE WHEN lead_days IS NULL THEN NULL
-WHEN {draw('lead', 'position_key')} < CAST(lead_days - lead_lo AS DOUBLE) / (lead_hi - lead_lo)
-THEN CAST(trunc(lead_lo + sqrt({draw('lead', 'position_key')} * (lead_hi - lead_lo) * (lead_days - lead_lo))) AS INTEGER)
-ELSE CAST(trunc(lead_hi - sqrt((1 - {draw('lead', 'position_key')}) * (lead_hi - lead_lo) * (lead_hi - lead_days))) AS INTEGER) END"""
-
-
-@query(with_views("positions") + f"SELECT position_key, plan_id, {LEAD_SQL} AS lead_days FROM positions")
+@query(
+    with_views("positions")
+    + """SELECT position_key, plan_id, CAST(maturity_date - early_withdrawal_date AS INTEGER) AS lead_days FROM positions
+WHERE early_withdrawal_date IS NOT NULL"""
+)
 def assign_triangular(t):
-    lead = early_lead_days(F.col("plan_id"), F.col("position_key"))
-    return standin.positions(t).select("position_key", "plan_id", lead.alias("lead_days"))
+    """Days from an early withdrawal to the maturity it gave up, as recorded."""
+    lead = F.datediff("maturity_date", "early_withdrawal_date")
+    early = standin.positions(t).filter(F.col("early_withdrawal_date").isNotNull())
+    return early.select("position_key", "plan_id", lead.alias("lead_days"))
 
 
 @query(

@@ -22,12 +22,12 @@ _CLOSED = """, held AS (SELECT *, coalesce(early_withdrawal_date, maturity_date,
 FROM positions)"""
 
 
-def _held(t, owner: bool = False):
-    """Positions started by the as-of day, with their closing day.
+def _held(t, owner: bool = False, started: dt.date | None = ORDERS_AS_OF):
+    """Positions started by a day, or all, with their closing day.
 
     A redeemed open-ended one closes after 200 days.
     """
-    started = F.col("l_shipdate") < ntz(ORDERS_AS_OF + dt.timedelta(days=1))
+    started = None if started is None else F.col("l_shipdate") < ntz(started + dt.timedelta(days=1))
     sold = F.when(F.col("is_redeemed"), F.date_add("start_date", SALE_HELD_OVER))
     closed = F.coalesce(F.col("early_withdrawal_date"), F.col("maturity_date"), sold)
     return standin.positions(t, owner=owner, where=started).withColumn("closed_on", closed)
@@ -72,7 +72,7 @@ def metric_aum_daily(t):
     return finance.aum_daily(_held(t), _FIRST_DAY, ORDERS_AS_OF)
 
 
-_NET = """, net AS (SELECT CAST(date_trunc('month', event_time) AS DATE) AS month, CAST(sum(CASE WHEN status <> 'success' THEN 0
+_NET = """, net AS (SELECT CAST(date_trunc('month', event_time) AS DATE) AS month, CAST(sum(CASE WHEN status IS DISTINCT FROM 'success' THEN 0
 WHEN direction = 'credit' THEN amount ELSE -amount END) AS DECIMAL(18,2)) AS net_deposits FROM cash_flow GROUP BY 1)"""
 
 
@@ -216,8 +216,7 @@ def metric_rfm(t):
         F.count("*").alias("frequency"),
         total(money(F.col("o_totalprice"))).alias("monetary"),
     )
-    for column, name in (("last_at", "r"), ("frequency", "f"), ("monetary", "m")):
-        users = keys.ntile(users, [column, "user_id"], 5, name)
+    users = keys.ntiles(users, "user_id", {"last_at": "r", "frequency": "f", "monetary": "m"}, 5)
     recency = F.datediff(F.lit(dt.date(2001, 8, 2)), "last_at")
     return users.select("user_id", recency.alias("recency_days"), "frequency", "monetary", "r", "f", "m")
 
@@ -249,7 +248,6 @@ def metric_operational_daily(t):
 @query(
     with_views("positions", "cash_flow")
     + _CLOSED
-    + _AUM_DAILY
     + _NET
     + """, mm AS (SELECT DISTINCT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders),
 mau AS (SELECT month, count(*) AS active_users FROM mm GROUP BY 1),
@@ -257,7 +255,8 @@ su AS (SELECT month, count(*) AS signups FROM (SELECT o_custkey, min(month) AS m
 ad AS (SELECT CAST(date_trunc('month', start_date) AS DATE) AS month, count(DISTINCT user_id) AS investors FROM positions GROUP BY 1),
 ch AS (SELECT CAST(p.month + INTERVAL 1 MONTH AS DATE) AS month, round(CAST(count(*) FILTER (WHERE n.month IS NULL) AS DOUBLE) / count(*), 6) AS churn_rate
  FROM mm p LEFT JOIN mm n ON n.o_custkey = p.o_custkey AND n.month = CAST(p.month + INTERVAL 1 MONTH AS DATE) GROUP BY 1),
-au AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, arg_max(aum, date) AS aum FROM aum_daily GROUP BY 1)
+mv AS (SELECT start_date AS date, amount_invested AS delta FROM held UNION ALL SELECT closed_on, -amount_invested FROM held WHERE closed_on IS NOT NULL),
+au AS (SELECT mau.month, CAST(coalesce(sum(delta), 0) AS DECIMAL(18,2)) AS aum FROM mau LEFT JOIN mv ON mv.date <= last_day(mau.month) GROUP BY 1)
 SELECT mau.month, coalesce(signups, 0) AS signups, active_users, coalesce(investors, 0) AS investors, aum, net_deposits, churn_rate FROM mau
 LEFT JOIN su USING (month) LEFT JOIN ad USING (month) LEFT JOIN au USING (month) LEFT JOIN net USING (month) LEFT JOIN ch USING (month)"""
 )
@@ -271,8 +270,7 @@ def metric_executive_summary(t):
     investors = starts.groupBy(month_start(F.col("start_date")).alias("month")).agg(
         F.count_distinct("user_id").alias("investors")
     )
-    daily = finance.aum_daily(_held(t), _FIRST_DAY, ORDERS_AS_OF)
-    month_end = daily.groupBy(month_start(F.col("date")).alias("month")).agg(F.max_by("aum", "date").alias("aum"))
+    month_end = finance.aum_month_end(_held(t, started=None), active.select("month"))
     churn = growth.retention_churn(t.orders, "o_custkey", "o_orderdate").select("month", "churn_rate")
     summary = active
     for part in (signups, investors, month_end, finance.net_deposits(standin.cash_flow(t)), churn):

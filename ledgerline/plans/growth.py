@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerline.functions.calendar import month_start, ntz
+from ledgerline.functions.calendar import month_start
 from ledgerline.functions.money import ratio
 from ledgerline.metrics import growth
 from ledgerline.plans.registry import query
@@ -275,24 +274,18 @@ def metric_funnel_unordered(t):
     return growth.reach_funnel(flags, [(n, F.col(n)) for n in names])
 
 
-def _recent_positions(t):
-    """Positions started in 2001 or later."""
-    return standin.positions(t, owner=True, where=F.col("l_shipdate") >= ntz(dt.date(2001, 1, 1)))
-
-
 @query(
     with_views("positions", "milestones")
-    + """, a AS (SELECT user_id, bool_or(plan_category = 'Savings') AS s, bool_or(plan_category = 'Investments') AS i FROM positions
-WHERE start_date >= DATE '2001-01-01' GROUP BY 1), u AS (SELECT m.user_id, coalesce(s, FALSE) AS s, coalesce(i, FALSE) AS i FROM milestones m
+    + """, a AS (SELECT user_id, bool_or(plan_category = 'Savings') AS s, bool_or(plan_category = 'Investments') AS i FROM positions GROUP BY 1), u AS (SELECT m.user_id, coalesce(s, FALSE) AS s, coalesce(i, FALSE) AS i FROM milestones m
 LEFT JOIN a ON a.user_id = m.user_id WHERE funded_at IS NOT NULL)
 SELECT count(*) AS activated_users, count(*) FILTER (WHERE s OR i) AS adopters, count(*) FILTER (WHERE s AND NOT i) AS savings_only,
 count(*) FILTER (WHERE i AND NOT s) AS investment_only, count(*) FILTER (WHERE s AND i) AS both,
 round(CAST(count(*) FILTER (WHERE s OR i) AS DOUBLE) / count(*), 6) AS adoption_rate FROM u"""
 )
 def metric_adoption_rate(t):
-    """Activated users with a position started in 2001, by kind of product."""
+    """Activated users with a position, by kind of product."""
     category = F.col("plan_category")
-    held = _recent_positions(t).groupBy("user_id").agg(
+    held = standin.positions(t, owner=True).groupBy("user_id").agg(
         F.bool_or(category == "Savings").alias("s"), F.bool_or(category == "Investments").alias("i")
     )
     activated = standin.user_milestones(t, kyc=False).filter(F.col("funded_at").isNotNull()).select("user_id")
@@ -310,11 +303,11 @@ def metric_adoption_rate(t):
 @query(
     with_views("positions")
     + """SELECT products, count(*) AS users FROM (SELECT user_id, string_agg(DISTINCT plan_name, '+' ORDER BY plan_name) AS products
-FROM positions WHERE start_date >= DATE '2001-01-01' GROUP BY 1) GROUP BY 1"""
+FROM positions GROUP BY 1) GROUP BY 1"""
 )
 def metric_cross_product(t):
-    """Users by the set of plans they started in 2001: at most four names per user."""
+    """Users by the set of plans they started: at most four names per user."""
     names = sorted(plan[2] for plan in PLANS)
-    flags = _recent_positions(t).groupBy("user_id").agg(*[F.bool_or(F.col("plan_name") == n).alias(n) for n in names])
+    flags = standin.positions(t, owner=True).groupBy("user_id").agg(*[F.bool_or(F.col("plan_name") == n).alias(n) for n in names])
     per_user = flags.select(F.concat_ws("+", *[F.when(F.col(n), n) for n in names]).alias("products"))
     return per_user.groupBy("products").agg(F.count("*").alias("users"))

@@ -7,16 +7,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerline.functions import calendar as cal
-from ledgerline.functions.draws import uniform
-from ledgerline.operators import keys, lifecycle, positions, sampling, skew
-from ledgerline.plans.assignment import LEAD_SQL, early_lead_days
+from ledgerline.operators import keys, lifecycle, positions, sampling
 from ledgerline.plans.registry import query
-from ledgerline.plans.views import date_id, draw, with_views
-from ledgerline.schemas import PERSONA_SEGMENTS, SEGMENTS, STAR, event_type_rows
+from ledgerline.plans.views import date_id, with_views
+from ledgerline.schemas import STAR, event_type_rows
 from ledgerline.sources import readers, standin
 from ledgerline.sources.standin import ORDERS_AS_OF, choose
 
-# Market segment -> behaviour segment, and the share of each persona.
+# Market segment -> behaviour segment.
 BEHAVIOUR_OF_SEGMENT = {
     "BUILDING": "High_Engagement_High_Balance",
     "MACHINERY": "High_Engagement_Low_Balance",
@@ -24,23 +22,16 @@ BEHAVIOUR_OF_SEGMENT = {
     "FURNITURE": "Moderate_Engagement_Low_Balance",
     "AUTOMOBILE": "Low_Engagement_Low_Balance",
 }
-PERSONA_SHARES = [
-    ("Starter Investor", 0.25),
-    ("Goal-Oriented Saver", 0.3),
-    ("Wealth Builder", 0.25),
-    ("Active Investor", 0.1),
-    ("Capital Preserver", 0.1),
-]
 
 
 @query(
     with_views("event_types")
     + """SELECT event_id, event_type_code, event_type_category, event_type_stage, is_conversion_milestone, product_area
-FROM events JOIN event_types USING (event_type)"""
+FROM events LEFT JOIN event_types USING (event_type)"""
 )
 def event_stage_enrich(t):
     dims = F.broadcast(event_type_rows(t.spark).drop("event_type_id"))
-    return standin.event_fact(t).select("event_id", "event_type_code").join(dims, "event_type_code")
+    return standin.event_fact(t).select("event_id", "event_type_code").join(dims, "event_type_code", "left")
 
 
 @query(
@@ -74,7 +65,7 @@ def onboarding_login_gap(t):
     steps = standin.user_milestones(t).filter(F.col("signup_at").isNotNull())
     logins = t.events.filter(F.col("event_type") == "view").select("user_id", "ts")
     ts = F.col("ts")
-    latest = skew.skew_join(logins, steps, ["user_id"]).groupBy("user_id").agg(
+    latest = logins.join(steps, "user_id").groupBy("user_id").agg(
         *[
             cal.minutes_between(F.max(F.when(ts <= F.col(step), ts)), F.max(step)).alias(f"{name}_gap_minutes")
             for step, name in (("kyc_at", "kyc"), ("funded_at", "funding"))
@@ -90,7 +81,7 @@ ts AS transaction_timestamp, {date_id('ts')} AS transaction_date_id FROM events
 )
 def transaction_extract(t):
     moves = standin.wallet_transactions(t)
-    keyed = keys.dense_key(moves, ["event_time", "event_id"], "transaction_id", after=967)
+    keyed = keys.dense_key(moves, ["event_time", "event_id"], "transaction_id", after=967, bare=True)
     shaped = keyed.select(
         "transaction_id",
         "wallet_id",
@@ -225,17 +216,12 @@ def vested_on_day(t):
     return due.select("position_key", "plan_name", "amount_invested")
 
 
-_SALE_SQL = f"""sales AS (SELECT *, CASE WHEN is_redeemed AND tenure_days IS NULL AND DATE '2001-06-30' - start_date > 200 THEN
-start_date + CAST(trunc(CASE WHEN {draw('sale', 'position_key')} < CAST(least(180, h) - 30 AS DOUBLE) / (h - 30)
- THEN 30 + sqrt({draw('sale', 'position_key')} * (h - 30) * (least(180, h) - 30))
- ELSE h - sqrt((1 - {draw('sale', 'position_key')}) * (h - 30) * (h - least(180, h))) END) AS INTEGER) END AS sale_date
-FROM (SELECT *, CAST(greatest(DATE '2001-06-30' - start_date, 201) AS INTEGER) AS h FROM positions))"""
+_SALE_SQL = """sales AS (SELECT *, CASE WHEN is_redeemed AND tenure_days IS NULL AND DATE '2001-06-30' - start_date > 200
+THEN start_date + 200 END AS sale_date FROM positions)"""
 
 
 def _with_sales(t):
-    sold = positions.sale_date(
-        F.col("start_date"), F.col("maturity_date"), F.col("is_redeemed"), F.col("position_key"), ORDERS_AS_OF
-    )
+    sold = positions.sale_date(F.col("start_date"), F.col("maturity_date"), F.col("is_redeemed"), ORDERS_AS_OF)
     return standin.positions(t).withColumn("sale_date", sold)
 
 
@@ -253,23 +239,20 @@ def proceeds_transfer(t):
     return positions.proceeds(_with_sales(t))
 
 
-_LAG_SQL = f"""CAST(trunc(CASE WHEN {draw('withdrawal', 'position_key')} < 13.0::DOUBLE / 89
- THEN 1 + sqrt({draw('withdrawal', 'position_key')} * 89 * 13) ELSE 90 - sqrt((1 - {draw('withdrawal', 'position_key')}) * 89 * 76) END) AS INTEGER)"""
-
-
 @query(
-    with_views("positions")
-    + f""", a AS (SELECT position_key, amount_invested, {draw('attempt', 'position_key')} < 0.9 AS first_try,
- coalesce(early_withdrawal_date, maturity_date)::TIMESTAMP + to_days(1 + {_LAG_SQL}) AS tried_at,
- CAST(2 + floor({draw('retry', 'position_key')} * 13) AS INTEGER) AS again
- FROM positions WHERE is_redeemed AND tenure_days IS NOT NULL)
-SELECT position_key, amount_invested, CASE WHEN first_try THEN 'success' ELSE 'failure' END AS status, tried_at AS withdrawn_at FROM a
-UNION ALL SELECT position_key, amount_invested, 'success', tried_at + to_days(again) FROM a WHERE NOT first_try"""
+    with_views("positions", "cash_flow")
+    + """, closed AS (SELECT position_key, user_id, coalesce(early_withdrawal_date, maturity_date)::TIMESTAMP AS closed_at FROM positions
+WHERE is_redeemed AND tenure_days IS NOT NULL)
+SELECT position_key, closed_at, (SELECT min(event_time) FROM cash_flow WHERE wallet_id = user_id AND direction = 'debit'
+ AND status = 'success' AND event_time > closed_at) AS withdrawn_at FROM closed"""
 )
 def withdrawal_after_redemption(t):
-    closed = positions.closing_date(F.col("maturity_date"), F.col("early_withdrawal_date"))
-    redeemed = standin.positions(t).withColumn("closed_on", closed)
-    return positions.withdrawals(redeemed.filter(F.col("is_redeemed") & F.col("closed_on").isNotNull()))
+    """The owner's first successful debit after each redemption; null when none follows."""
+    closed = positions.closing_date(F.col("maturity_date"), F.col("early_withdrawal_date")).cast("timestamp_ntz")
+    redeemed = standin.positions(t, owner=True).withColumn("closed_at", closed)
+    redeemed = redeemed.filter(F.col("is_redeemed") & F.col("closed_at").isNotNull()).select("user_id", "position_key", "closed_at")
+    debits = standin.cash_flow(t).filter("direction = 'debit' AND status = 'success'")
+    return positions.next_debit(redeemed, debits.select(F.col("wallet_id").alias("user_id"), "transaction_id", "event_time"))
 
 
 PAIRS = """pairs AS (SELECT event_id, user_id AS wallet_id, ts AS failed_at, event_type, min(CASE WHEN event_type = 'purchase' THEN ts END)
@@ -296,26 +279,16 @@ def withdrawal_retry_pairs(t):
 
 @query(
     with_views("positions")
-    + f""", r AS (SELECT position_key, greatest(start_date, maturity_date - ({LEAD_SQL})) AS request_date, is_withdrawn_early FROM positions
-WHERE maturity_date IS NOT NULL)
-SELECT position_key, is_withdrawn_early, CASE WHEN is_withdrawn_early THEN request_date END AS early_withdrawal_date,
-CASE WHEN is_withdrawn_early THEN {date_id('request_date')} END AS early_withdrawal_date_id FROM r"""
+    + f"""SELECT position_key, is_withdrawn_early, early_withdrawal_date, {date_id('early_withdrawal_date')} AS early_withdrawal_date_id
+FROM positions WHERE maturity_date IS NOT NULL"""
 )
 def early_withdrawal_request(t):
-    """Request date: a drawn number of days before maturity, never before the start."""
-    lead = early_lead_days(F.col("plan_id"), F.col("position_key"))
-    request = F.greatest(F.col("start_date"), F.date_sub("maturity_date", F.col("drawn_lead")))
-    return (
-        standin.positions(t)
-        .filter(F.col("maturity_date").isNotNull())
-        .withColumn("drawn_lead", lead)
-        .withColumn("early_withdrawal_date", F.when(F.col("is_withdrawn_early"), request))
-        .select(
-            "position_key",
-            "is_withdrawn_early",
-            "early_withdrawal_date",
-            cal.date_id(F.col("early_withdrawal_date")).alias("early_withdrawal_date_id"),
-        )
+    """The request date of positions that were withdrawn early, null for the others."""
+    return standin.positions(t).filter(F.col("maturity_date").isNotNull()).select(
+        "position_key",
+        "is_withdrawn_early",
+        "early_withdrawal_date",
+        cal.date_id(F.col("early_withdrawal_date")).alias("early_withdrawal_date_id"),
     )
 
 
@@ -399,19 +372,18 @@ def amount_paid_out(t):
 
 
 @query(
-    with_views("milestones")
+    with_views("milestones", "positions")
     + """SELECT m.user_id, CAST(m.funded_at AS DATE) AS activated_on FROM milestones m LEFT JOIN
-(SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01') o ON o.o_custkey = m.user_id
-WHERE o.o_custkey IS NULL AND CAST(m.funded_at AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-07'"""
+(SELECT DISTINCT user_id FROM positions WHERE plan_id = 104 AND NOT is_redeemed AND NOT is_withdrawn_early) o ON o.user_id = m.user_id
+WHERE o.user_id IS NULL AND CAST(m.funded_at AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-07'"""
 )
 def activated_without_position(t):
-    """Wallets activated one to seven days before January 8 whose owner took no position in 2001."""
+    """Wallets activated one to seven days before January 8 whose owner holds no open mutual fund."""
     as_of = dt.date(2024, 1, 8)
     recent = (F.col("funded_at") >= cal.ntz(as_of - dt.timedelta(days=7))) & (F.col("funded_at") < cal.ntz(as_of))
     activated = standin.user_milestones(t, kyc=False).filter(recent)
-    owners = t.orders.filter(F.col("o_orderdate") >= cal.ntz(dt.date(2001, 1, 1))).select(
-        F.col("o_custkey").alias("user_id")
-    )
+    held = standin.positions(t, owner=True)
+    owners = held.filter((F.col("plan_id") == 104) & ~F.col("is_redeemed") & ~F.col("is_withdrawn_early")).select("user_id").distinct()
     return activated.join(owners, "user_id", "left_anti").select("user_id", F.to_date("funded_at").alias("activated_on"))
 
 
@@ -437,11 +409,10 @@ def session_login_review(t):
     """Sessions cut at 30 idle minutes, with logins and the reviews that follow a login within 30 minutes."""
     kind, ts = F.col("event_type"), F.col("ts")
     events = t.events.select("event_id", "user_id", "ts", "event_type")
-    hot = skew.hot_keys(events, ["user_id"])
-    seen = lifecycle.with_last_login(events, "user_id", "ts", "event_id", kind == "view", "login_at", hot)
+    seen = lifecycle.with_last_login(events, "user_id", "ts", "event_id", kind == "view", "login_at")
     belongs = (kind == "click") & (ts <= cal.plus(F.col("login_at"), minutes=30))
     measures = {"logins": F.count_if(kind == "view"), "reviews_after_login": F.count_if(belongs)}
-    return lifecycle.sessions(seen, "user_id", "ts", "event_id", 30, measures, hot)
+    return lifecycle.sessions(seen, "user_id", "ts", "event_id", 30, measures)
 
 
 @query(
@@ -454,25 +425,14 @@ def engagement_tier(t):
 
 
 @query(
-    f"""WITH p(persona, lo, hi) AS (VALUES ('Starter Investor', 0.0, 0.25), ('Goal-Oriented Saver', 0.25, 0.55),
- ('Wealth Builder', 0.55, 0.8), ('Active Investor', 0.8, 0.9), ('Capital Preserver', 0.9, 1.0)),
-m(persona, a, b, c, d, e, f) AS (VALUES ('Starter Investor', 0.02, 0.57, 0.6, 0.8, 0.8, 1.0),
- ('Goal-Oriented Saver', 0.03, 0.18, 0.28, 0.73, 0.8, 1.0), ('Wealth Builder', 0.2, 0.25, 0.7, 0.8, 0.95, 1.0),
- ('Active Investor', 0.7, 0.75, 0.9, 0.95, 1.0, 1.0), ('Capital Preserver', 0.05, 0.05, 0.4, 0.4, 1.0, 1.0)),
-u AS (SELECT c_custkey, {draw('persona', 'c_custkey')} AS u1, {draw('segment', 'c_custkey')} AS u2 FROM customer)
-SELECT c_custkey AS user_id, persona, CASE WHEN u2 < a THEN 'High_Engagement_High_Balance' WHEN u2 < b THEN 'High_Engagement_Low_Balance'
-WHEN u2 < c THEN 'Moderate_Engagement_High_Balance' WHEN u2 < d THEN 'Moderate_Engagement_Low_Balance'
-WHEN u2 < e THEN 'Low_Engagement_High_Balance' ELSE 'Low_Engagement_Low_Balance' END AS segment
-FROM u JOIN p ON u1 >= lo AND u1 < hi JOIN m USING (persona)"""
+    "SELECT c_custkey AS user_id, c_mktsegment AS persona, CASE c_mktsegment "
+    + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in BEHAVIOUR_OF_SEGMENT.items())
+    + " END AS segment FROM customer"
 )
 def persona_segment_lookup(t):
-    who = F.col("c_custkey")
-    users = sampling.range_bucket(t.customer.select(who), uniform("persona", who), PERSONA_SHARES, "persona")
-    matrix = [
-        (persona, segment[0], weight)
-        for persona, weights in PERSONA_SEGMENTS
-        for segment, weight in zip(SEGMENTS, weights)
-        if weight > 0
-    ]
-    drawn = sampling.range_bucket(users, uniform("segment", who), matrix, "segment", parent="persona")
-    return drawn.withColumnRenamed("c_custkey", "user_id")
+    """The behaviour segment of each recorded market segment; null for one that is not listed."""
+    return t.customer.select(
+        F.col("c_custkey").alias("user_id"),
+        F.col("c_mktsegment").alias("persona"),
+        choose(F.col("c_mktsegment"), BEHAVIOUR_OF_SEGMENT).alias("segment"),
+    )

@@ -168,7 +168,7 @@ def coalesce_fallback(t):
 def join_inner_key_restrict(t):
     wanted = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("o_custkey"))
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    return skew.skew_join(orders, wanted.distinct(), ["o_custkey"])
+    return orders.join(wanted.distinct(), "o_custkey")
 
 
 @query(
@@ -269,50 +269,34 @@ def join_lookup_broadcast(t):
 
 @query(
     with_views("positions")
-    + f"""SELECT position_key, order_day.d AS order_date, year(start_day.d)::INTEGER AS start_year,
-quarter(end_day.d)::INTEGER AS maturity_quarter FROM positions
-JOIN (SELECT o_orderkey, o_orderdate::DATE AS d FROM orders) order_day ON o_orderkey = order_key
-JOIN (SELECT DISTINCT start_date AS d FROM positions) start_day ON start_day.d = start_date
-LEFT JOIN (SELECT DISTINCT maturity_date AS d FROM positions) end_day ON end_day.d = maturity_date"""
+    + """SELECT position_key, o_orderdate::DATE AS order_date, year(start_date)::INTEGER AS start_year,
+quarter(maturity_date)::INTEGER AS maturity_quarter FROM positions LEFT JOIN orders ON o_orderkey = order_key"""
 )
 def join_role_playing_date(t):
-    # The calendar of the years in question: a few thousand days, bounded by its two dates.
-    calendar = cal.dim_date(t.spark, dt.date(1990, 1, 1), dt.date(2010, 12, 31))
-
-    def role(name: str, *columns: str) -> DataFrame:
-        picked = [F.col(c).alias(f"{name}_{c}") for c in columns]
-        return F.broadcast(calendar.select(F.col("date_id").alias(f"{name}_date_id"), *picked))
-
-    held = standin.positions(t).select(
+    """The order, start and maturity dates in their roles; no calendar bounds the years."""
+    orders = t.orders.select(F.col("o_orderkey").alias("order_key"), F.to_date("o_orderdate").alias("order_date"))
+    return standin.positions(t).join(orders, "order_key", "left").select(
         "position_key",
-        "order_key",
-        cal.date_id(F.col("start_date")).alias("start_date_id"),
-        cal.date_id(F.col("maturity_date")).alias("maturity_date_id"),
-    )
-    orders = t.orders.select(
-        F.col("o_orderkey").alias("order_key"), cal.date_id(F.col("o_orderdate")).alias("order_date_id")
-    )
-    return (
-        held.join(orders, "order_key")
-        .join(role("order", "date"), "order_date_id")
-        .join(role("start", "year"), "start_date_id")
-        .join(role("maturity", "quarter"), "maturity_date_id", "left")
-        .select("position_key", "order_date", "start_year", "maturity_quarter")
+        "order_date",
+        F.year("start_date").alias("start_year"),
+        F.quarter("maturity_date").alias("maturity_quarter"),
     )
 
 
 @query(
     with_views("event_types")
     + """SELECT event_id, user_id, c_mktsegment AS segment, event_type_stage, isodow(ts) IN (6, 7) AS is_weekend
-FROM events JOIN customer ON c_custkey = user_id JOIN event_types USING (event_type)"""
+FROM events LEFT JOIN customer ON c_custkey = user_id LEFT JOIN event_types USING (event_type)"""
 )
 def join_star_enrich(t):
     kinds = F.broadcast(event_type_rows(t.spark).select("event_type_code", "event_type_stage"))
-    days = cal.dim_date(t.spark, dt.date(2020, 1, 1), dt.date(2030, 12, 31)).select("date_id", "is_weekend")
     users = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
-    events = standin.event_fact(t).select("event_id", "user_id", "event_type_code", F.col("event_date_id").alias("date_id"))
+    events = standin.event_fact(t).select(
+        "event_id", "user_id", "event_type_code", cal.is_weekend(F.to_date("event_time")).alias("is_weekend")
+    )
     return (
-        skew.skew_join(events.join(kinds, "event_type_code").join(F.broadcast(days), "date_id"), users, ["user_id"])
+        events.join(kinds, "event_type_code", "left")
+        .join(users, "user_id", "left")
         .select("event_id", "user_id", "segment", "event_type_stage", "is_weekend")
     )
 
@@ -444,7 +428,7 @@ def window_first_per_user_start(t):
 
 @query("SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_id FROM orders")
 def surrogate_key_dense(t):
-    return keys.dense_key(t.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], "order_id")
+    return keys.dense_key(t.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], "order_id", bare=True)
 
 
 @query(
@@ -456,8 +440,8 @@ ELSE (SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-20')
 def surrogate_key_continue(t):
     events = t.events.select(F.col("event_id").alias("source_id"), "ts")
     cut = cal.ntz(dt.date(2024, 1, 20))
-    stored = keys.dense_key(events.filter(F.col("ts") < cut), ["ts", "source_id"], "event_key")
-    added = keys.continue_keys(stored, events.filter(F.col("ts") >= cut), ["ts", "source_id"], "event_key")
+    stored = keys.dense_key(events.filter(F.col("ts") < cut), ["ts", "source_id"], "event_key", bare=True)
+    added = keys.continue_keys(stored, events.filter(F.col("ts") >= cut), ["ts", "source_id"], "event_key", bare=True)
     return stored.unionByName(added).select("source_id", "event_key")
 
 
@@ -503,26 +487,26 @@ def random_top_k(t):
 
 
 @query(
-    """WITH numbered AS (SELECT user_id, ts, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 500 AS block
-FROM events WHERE event_type = 'view')
-SELECT user_id, CAST(block AS BIGINT) AS block, string_agg(strftime(ts, '%Y%m%d%H%M%S'), ',' ORDER BY ts) AS times
-FROM numbered GROUP BY user_id, block"""
+    """SELECT user_id, CAST(date_trunc('month', ts) AS DATE) AS month, string_agg(strftime(ts, '%Y%m%d%H%M%S'), ',' ORDER BY ts) AS times
+FROM events WHERE event_type = 'view' GROUP BY ALL"""
 )
 def array_sorted(t):
-    """Sorted login times per user, in blocks of 500 so that no array grows without end."""
-    logins = t.events.filter(F.col("event_type") == "view").select("user_id", "ts", "event_id")
-    placed = skew.running(logins, ["user_id"], ["ts", "event_id"], {"place": ("count", F.lit(1), True)})
-    blocks = placed.groupBy("user_id", F.floor((F.col("place") - 1) / 500).alias("block")).agg(
+    """Sorted login times per user and month: what one list holds is bounded by the month."""
+    logins = t.events.filter(F.col("event_type") == "view")
+    months = logins.groupBy("user_id", cal.month_start(F.col("ts")).alias("month")).agg(
         F.array_sort(F.collect_list("ts")).alias("sorted")
     )
     text = F.transform("sorted", lambda ts: F.date_format(ts, "yyyyMMddHHmmss"))
-    return blocks.select("user_id", "block", F.array_join(text, ",").alias("times"))
+    return months.select("user_id", "month", F.array_join(text, ",").alias("times"))
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders")
 def union_all_frames(t):
-    orders = t.orders.select("o_orderkey", "o_orderstatus")
-    return reduce(DataFrame.unionByName, [orders.filter(F.col("o_orderstatus") == s) for s in ("F", "O", "P")])
+    """Frames of three listed statuses and of all other rows, the null ones too, put back together."""
+    orders, status = t.orders.select("o_orderkey", "o_orderstatus"), F.col("o_orderstatus")
+    listed = ("F", "O", "P")
+    other = orders.filter(~F.coalesce(status.isin(*listed), F.lit(False)))
+    return reduce(DataFrame.unionByName, [*(orders.filter(status == s) for s in listed), other])
 
 
 @query(

@@ -69,12 +69,13 @@ def fn_month_boundaries(t):
 
 @query(
     """SELECT CAST(d AS DATE) AS date, (SELECT count(*) FROM orders WHERE CAST(o_orderdate AS DATE) = CAST(d AS DATE)) AS orders
-FROM generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY) g(d)"""
+FROM (SELECT unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS d FROM orders)"""
 )
 def fn_date_series(t):
-    """A day spine with the orders of each day, so that empty days show."""
-    spine = cal.date_spine(t.spark, dt.date(1995, 1, 1), dt.date(2001, 12, 31))
+    """A day spine from the first to the last order with the orders of each day, so that empty days show."""
     daily = t.orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count("*").alias("n"))
+    bounds = daily.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    spine = bounds.select(F.explode(F.sequence("first", "last")).alias("date"))
     return spine.join(daily, "date", "left").select("date", F.coalesce("n", F.lit(0)).alias("orders"))
 
 

@@ -7,11 +7,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerline.functions import calendar as cal
-from ledgerline.functions.draws import uniform, uniform_int
 from ledgerline.functions.money import money
 from ledgerline.operators import daily, keys, snapshots
 from ledgerline.plans.registry import query
-from ledgerline.plans.views import date_id, draw, with_views
+from ledgerline.plans.views import date_id, with_views
 from ledgerline.schemas import INPUT, STAR, contract
 from ledgerline.session import scratch
 from ledgerline.sources import catalog, readers, sinks, standin
@@ -123,20 +122,14 @@ def wallet_balance_snapshot(t):
 @query(
     with_views("milestones")
     + f""", w AS (SELECT row_number() OVER (ORDER BY signup_at, user_id) AS wallet_id, user_id, signup_at,
- CASE WHEN funded_at IS NOT NULL THEN signup_at + to_minutes(CAST(1440 + floor({draw('activation', 'user_id')} * (10080 - 1440)) AS INTEGER))
- END AS activated_at FROM milestones WHERE signup_at IS NOT NULL)
+ funded_at AS activated_at FROM milestones WHERE signup_at IS NOT NULL)
 SELECT wallet_id, user_id, 'GBP' AS wallet_currency, signup_at AS wallet_created_at, activated_at AS wallet_activated_at,
 {date_id('signup_at')} AS wallet_created_date_id, {date_id('activated_at')} AS wallet_activated_date_id,
 signup_at AS created_at, coalesce(activated_at, signup_at) AS last_updated_at FROM w"""
 )
 def wallet_dim_build(t):
-    """Wallets keyed in signup order; activated ones some minutes (1 to 7 days) after signup."""
-    users = standin.wallets(t)
-    offset = uniform_int(uniform("activation", F.col("user_id")), F.lit(1440), F.lit(10080))
-    activated = F.when(
-        F.col("wallet_activated_at").isNotNull(), cal.plus(F.col("wallet_created_at"), minutes=offset)
-    )
-    built = users.drop("wallet_id").withColumn("wallet_activated_at", activated)
+    """Wallets keyed in signup order, activated by their first funding."""
+    built = standin.wallets(t).drop("wallet_id")
     keyed = keys.dense_key(built, ["wallet_created_at", "user_id"], "wallet_id")
     full = keyed.withColumns(
         {
@@ -245,7 +238,7 @@ WHERE ts < TIMESTAMP '2024-01-31'"""
 def initial_backfill(t):
     history = standin.event_fact(t).filter(F.col("event_time") < cal.ntz(EVENTS_AS_OF))
     history = history.withColumnRenamed("event_id", "source_id")
-    keyed = keys.dense_key(history, ["event_time", "source_id"], "event_id")
+    keyed = keys.dense_key(history, ["event_time", "source_id"], "event_id", bare=True)
     return keyed.select("event_id", "source_id", "user_id", "event_type_code", "event_date_id")
 
 
@@ -255,9 +248,13 @@ AS DECIMAL(18,2)) AS balance, max(ts) FILTER (WHERE event_type = 'view') AS last
 min(ts) FILTER (WHERE event_type = 'purchase') AS funded_at, count(*) AS events FROM events GROUP BY user_id"""
 )
 def incremental_daily_load(t):
-    """History up to the 27th, then day by day to the 30th, the last one twice."""
+    """History, then the last three days of the log one by one, the very last one twice."""
     root = scratch(t.spark, "daily")
-    state = daily.backfill(t.events, dt.date(2024, 1, 28), root)
-    for day in (28, 29, 30, 30):
-        state = daily.run_day(t.events, dt.date(2024, 1, day), root)
+    last = t.events.agg(F.to_date(F.max("ts"))).first()[0]
+    if last is None:
+        return daily.changes(t.events)
+    days = [last - dt.timedelta(days=n) for n in (2, 1, 0, 0)]
+    state = daily.backfill(t.events, days[0], root)
+    for day in days:
+        state = daily.run_day(t.events, day, root)
     return state

@@ -40,9 +40,15 @@ def stream_tumbling_counts(t):
     return rows.withColumns(naive("window_start"))
 
 
-@query()
+@query(
+    """WITH d AS (SELECT DISTINCT user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM events WHERE user_id IS NOT NULL),
+w AS (SELECT DISTINCT user_id, day - to_days(CAST(k AS INTEGER)) AS window_start FROM d, range(0, 7) r(k))
+SELECT window_start, count(*) AS active_users FROM w
+WHERE window_start + INTERVAL 7 DAY <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM events) GROUP BY 1"""
+)
 def stream_sliding_active(t):
-    rows = drain.upsert(jobs.sliding_active(_events(t)), "sliding", ["window_start"])
+    """Windows of seven days that the watermark has passed."""
+    rows = drain.append(jobs.sliding_active(_events(t)), "sliding")
     return rows.withColumns(naive("window_start"))
 
 

@@ -34,8 +34,8 @@ positions AS (
          END AS early_withdrawal_date
   FROM lineitem l
   JOIN orders o ON o.o_orderkey = l.l_orderkey
-  JOIN part p ON p.p_partkey = l.l_partkey
-  JOIN plans pl ON pl.plan_id = CASE p.p_type WHEN 'STANDARD' THEN 101 WHEN 'ECONOMY' THEN 102
+  LEFT JOIN part p ON p.p_partkey = l.l_partkey
+  LEFT JOIN plans pl ON pl.plan_id = CASE p.p_type WHEN 'STANDARD' THEN 101 WHEN 'ECONOMY' THEN 102
        WHEN 'SMALL' THEN 102 WHEN 'MEDIUM' THEN 103 WHEN 'LARGE' THEN 103 WHEN 'PROMO' THEN 104 END)""",
     "milestones": """
 milestones AS (

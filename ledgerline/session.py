@@ -20,7 +20,6 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-SKEW_MIN_ROWS = "spark.ledgerline.skew.minRows"
 _local_scratch: str | None = None
 
 
@@ -65,8 +64,3 @@ def scratch(spark: SparkSession, name: str) -> str:
             atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)
         base = _local_scratch
     return f"{base.rstrip('/')}/ledgerline/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def skew_min_rows(spark: SparkSession) -> int:
-    """Rows from which one key counts as hot and its group is split."""
-    return int(spark.conf.get(SKEW_MIN_ROWS, "5000000"))

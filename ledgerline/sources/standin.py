@@ -142,8 +142,8 @@ def positions(t: Tables, *, owner: bool = False, plan: bool = True, where: Colum
     )
     maturity = F.date_add("start_date", F.col("tenure_days"))
     return (
-        df.join(parts, "part_key")
-        .join(terms, "plan_id")
+        df.join(parts, "part_key", "left")  # a position of no known plan stays, without terms
+        .join(terms, "plan_id", "left")
         .withColumn("maturity_date", maturity)
         .withColumn(
             "early_withdrawal_date",

@@ -32,13 +32,14 @@ def daily_counts(events: DataFrame) -> DataFrame:
 
 
 def sliding_active(events: DataFrame, width: str = "7 days", slide: str = "1 day") -> DataFrame:
-    """Approximate active users of a rolling window (a stream cannot count distinct exactly)."""
-    return (
-        events.withWatermark("ts", WATERMARK)
-        .groupBy(F.window("ts", width, slide))
-        .agg(F.approx_count_distinct("user_id").alias("active_users"))
-        .select(F.col("window.start").alias("window_start"), "active_users")
-    )
+    """Active users of each rolling window, exact, once the watermark has passed the window.
+
+    A user is kept once per window; the users of a window are then counted.
+    """
+    seen = events.withWatermark("ts", WATERMARK).select(F.window("ts", width, slide).alias("window"), "user_id")
+    once = seen.filter(F.col("user_id").isNotNull()).dropDuplicates(["window", "user_id"])
+    counted = once.groupBy("window").agg(F.count("*").alias("active_users"))
+    return counted.select(F.col("window.start").alias("window_start"), "active_users")
 
 
 def login_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:

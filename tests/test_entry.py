@@ -26,9 +26,8 @@ def test_every_survey_key_is_a_query():
     assert keys == own
 
 
-def test_only_the_approximate_stream_lacks_an_oracle():
-    own = set(contract.queries()) - set(contract.corpus()[0])
-    assert own - set(contract.oracle_sql()) == {"stream_sliding_active"}
+def test_every_query_has_an_oracle():
+    assert set(contract.queries()) - set(contract.corpus()[0]) <= set(contract.oracle_sql())
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():

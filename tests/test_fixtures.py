@@ -189,9 +189,7 @@ ATTEMPTS = [
 ]
 
 
-@pytest.mark.parametrize("min_rows", [1, 10**9])
-def test_retry_pairs(spark, min_rows, monkeypatch):
-    monkeypatch.setattr(skew, "skew_min_rows", lambda _: min_rows)
+def test_retry_pairs(spark):
     df = frame(spark, ATTEMPTS, "id bigint, wallet bigint, status string, ts timestamp_ntz")
     status = F.col("status")
     pairs = lifecycle.retry_pairs(df, "wallet", "ts", "id", status == "failure", status == "success")
@@ -213,9 +211,7 @@ def test_failed_funding_leaves_the_balance_alone(spark):
     ]
 
 
-@pytest.mark.parametrize("min_rows", [1, 10**9])
-def test_sessions_break_after_thirty_idle_minutes(spark, min_rows, monkeypatch):
-    monkeypatch.setattr(skew, "skew_min_rows", lambda _: min_rows)
+def test_sessions_break_after_thirty_idle_minutes(spark):
     times = [T(2024, 1, 1, 9, 50), T(2024, 1, 1, 10, 20), T(2024, 1, 1, 10, 50, 1), T(2024, 1, 1, 23, 55), T(2024, 1, 2, 0, 10)]
     df = frame(spark, [(i, 1, ts) for i, ts in enumerate(times)], "id bigint, user_id bigint, ts timestamp_ntz")
     out = lifecycle.sessions(df, "user_id", "ts", "id", 30, {})
@@ -341,11 +337,37 @@ def test_ntile_sizes(spark, n):
     assert sum(sizes) == n and max(sizes) - min(sizes) <= 1
 
 
-def test_skew_join_equals_join(spark):
-    fact = spark.range(2000).select(F.when(F.col("id") < 900, 7).otherwise(F.col("id") % 50).alias("k"), "id")
-    dim = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    for how in ("inner", "left"):
-        assert rows(skew.skew_join(fact, dim, ["k"], how, min_rows=100)) == rows(fact.join(dim, ["k"], how))
+def test_tiles_of_several_columns(spark):
+    df = frame(spark, [(i, i % 3, -i) for i in range(11)], "id bigint, a int, b int")
+    one_by_one = keys.ntile(keys.ntile(df, ["a", "id"], 4, "ta"), ["b", "id"], 4, "tb")
+    assert rows(keys.ntiles(df, "id", {"a": "ta", "b": "tb"}, 4)) == rows(one_by_one)
+
+
+def test_every_draw_falls_into_an_interval(spark):
+    """Three equal weights do not add up to one after rounding."""
+    weights = [("a", 1.0), ("b", 1.0), ("c", 1.0), ("never", 0.0)]
+    assert sampling.cumulative(weights)[2][-1] == 1.0
+    df = frame(spark, [(i, u) for i, u in enumerate([0.0, 0.333333, 0.999999, 0.9999999, 1 - 2**-53])], "id bigint, u double")
+    assert rows(sampling.range_bucket(df, F.col("u"), weights, "label"), "id", "label") == [
+        (0, "a"), (1, "b"), (2, "c"), (3, "c"), (4, "c"),
+    ]
+
+
+def test_bad_rows_stop_a_load(spark):
+    df = frame(spark, [(1, 5), (2, -5), (3, None)], "id bigint, amount int")
+    fine = quality.row_checks(df, "t", {"small": F.col("amount") > 10})
+    bad = quality.row_checks(df, "t", {"positive": F.col("amount") <= 0})
+    assert rows(quality.enforce(fine)) == rows(fine)
+    with pytest.raises(ValueError, match="positive on t: 1 of 3 rows"):
+        quality.enforce(quality.report([fine, bad]))
+
+
+def test_next_debit_is_the_first_later_one(spark):
+    closed = frame(spark, [(1, "p", T(2024, 1, 5)), (1, "q", T(2024, 1, 9)), (2, "r", T(2024, 1, 1)), (None, "s", T(2024, 1, 1))], "user_id bigint, position_key string, closed_at timestamp_ntz")
+    debits = frame(spark, [(1, 7, T(2024, 1, 5)), (1, 8, T(2024, 1, 7)), (1, 9, T(2024, 1, 8)), (None, 10, T(2024, 1, 2))], "user_id bigint, transaction_id bigint, event_time timestamp_ntz")
+    assert rows(positions.next_debit(closed, debits), "position_key", "withdrawn_at") == [
+        ("p", T(2024, 1, 7)), ("q", None), ("r", None), ("s", T(2024, 1, 2)),
+    ]
 
 
 # --- quality ----------------------------------------------------------------------------------------
