@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import pieces as runs
 
 MAX_MODEL_BYTES = 64 << 20  # the tokenizer file is broadcast
-CACHED_PIECES = 150_000  # pieces held per generation of a worker's cache; there are two
-RUN_BYTES = 4 << 20
+CACHED_PIECES = 60_000  # pieces held per generation of a worker's cache; there are two
+RUN_BYTES = 1 << 20
 END = "\x00"  # end-of-word mark inside the automaton
 
 NEVER = float("inf")
@@ -119,7 +119,7 @@ class Encoder:
                 i += 1
             else:
                 j += 1
-        if len(self.fits) >= 4 * CACHED_PIECES:
+        if len(self.fits) >= 2 * CACHED_PIECES:
             self.fits.clear()
         self.fits[left, right] = held
         return held

@@ -32,7 +32,7 @@ from ledgerline.llm.common import pieces
 Q = 8  # bytes of a q-gram: it is read as one 64-bit number
 RATE = 0.1
 BLOCK_BYTES = 4 << 20
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 TABLE_BITS = 22
 ALIGNED = 256  # candidates aligned at a time
 

@@ -26,7 +26,7 @@ from ledgerline.llm.common import pieces, text_bytes
 K = 128
 SHINGLE = 5
 BITS = 48  # a kept hash has 12 hexadecimal digits
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 BLOCKS_PER_PARTITION = 4
 
 

@@ -34,7 +34,7 @@ HASH_SEED = 42
 DISTANCE = 3  # the scheme of halves and quarters holds for up to three bits
 GROUP = 20_000  # fingerprints under one variant of a half, from which it is refined
 SMALL_GROUP = 8
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 MAX_BROADCAST = 100_000
 
 _ONES = np.uint64(0x0101010101010101)
