@@ -68,7 +68,9 @@ def repeated_lines(
     """_key, _print and the array of line numbers to remove, for documents that lose lines."""
     found = chunks(docs, key, text, mean_lines).filter((F.col("n_lines") >= min_lines) & F.col("body").rlike(r"[^ \n]"))
     hashed = found.withColumn("_hash", F.xxhash64("body"))
-    repeated = hashed.groupBy("_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select("_hash")
+    # Stored, so that both sides of the join are plain exchanges, whose large keys Spark can split.
+    counts = hashed.groupBy("_hash").agg(F.count("*").alias("_n"))
+    repeated = stored(counts.filter("_n > 1").select("_hash"), "line-hashes")
     candidates = stored(hashed.join(repeated, "_hash"), "line-chunks")  # read twice, shuffled once
     at = F.struct("_key", "_print", "place")
     first = candidates.groupBy("_hash", "body").agg(F.min(at).alias("_first"), F.count("*").alias("_n"))

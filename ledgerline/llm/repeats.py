@@ -324,7 +324,8 @@ def window_rows(content: DataFrame, scheme: Scheme) -> DataFrame:
 def repeated_anchors(rows: DataFrame, scheme: Scheme) -> DataFrame:
     """The stored anchors whose run occurs more than once."""
     every = anchor_rows(rows, scheme)
-    twice = every.groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1").select("h")
+    # Stored, so that both sides of the join are plain exchanges, whose large keys Spark can split.
+    twice = stored(every.groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1").select("h"), "repeats-runs")
     return stored(every.join(twice, "h"), "repeats-anchors")
 
 
