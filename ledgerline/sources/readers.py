@@ -75,12 +75,12 @@ def stream_table(tables: Tables, name: str, files_per_trigger: int | None = None
     """An input table as a file stream; event times become zoned, as watermarks need."""
     spark = tables.spark
     path = tables.path(name)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    status = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop)
+    files = spark.read.schema(INPUT[name]).parquet(path).inputFiles()
+    is_file = len(files) == 1 and files[0].endswith(f"/{name}.parquet")
     reader = spark.readStream.schema(INPUT[name])
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    if status.isDirectory():
+    if not is_file:
         stream = reader.parquet(path)
     else:
         # A stream source must be a folder; pick the one file out of it.
