@@ -70,10 +70,12 @@ def high_water_mark(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.coalesce(F.max(key), F.lit(0)).alias(f"max_{key}"))
 
 
-def continue_keys(stored: DataFrame, arrivals: DataFrame, order: Sequence[str], key: str) -> DataFrame:
+def continue_keys(
+    stored: DataFrame, arrivals: DataFrame, order: Sequence[str], key: str, *, bare: bool = False
+) -> DataFrame:
     """Number ``arrivals`` on from the largest stored key."""
     mark = high_water_mark(stored, key).first()[0]
-    return dense_key(arrivals, order, key, after=mark)
+    return dense_key(arrivals, order, key, after=mark, bare=bare)
 
 
 def ntile(df: DataFrame, order: Sequence[str], tiles: int, name: str, *, bare: bool = False) -> DataFrame:
