@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.session import prepare, scratch
 
 
+BATCH_BYTES = str(8 << 20)  # what a Python worker is sent at a time, unless one row is larger
+
+
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a corpus table; further columns are never read."""
-    df = prepare(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
