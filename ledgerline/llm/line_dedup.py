@@ -75,7 +75,7 @@ def repeated_lines(
     at = F.struct("_key", "_print", "place")
     first = candidates.groupBy("_hash", "body").agg(F.min(at).alias("_first"), F.count("*").alias("_n"))
     # Equal hashes with other bytes fall apart here: the bodies themselves are joined.
-    first = first.filter("_n > 1").select("_hash", "body", "_first")
+    first = stored(first.filter("_n > 1").select("_hash", "body", "_first"), "line-firsts")
     later = candidates.join(first, ["_hash", "body"]).filter(at > F.col("_first"))
     lines = F.sequence("first_line", F.col("first_line") + F.col("n_lines") - 1)
     return later.groupBy("_key", "_print").agg(F.flatten(F.collect_set(lines)).alias("_removed"))

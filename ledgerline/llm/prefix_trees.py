@@ -67,7 +67,9 @@ def later_leaves(found: repeats.Contexts, length: int) -> np.ndarray:
 def spans(rows: DataFrame, scheme: repeats.Scheme, group: int = repeats.GROUP) -> DataFrame:
     """(doc, mark, first, last): starts of windows that also start earlier."""
     anchors = repeats.repeated_anchors(rows, scheme)
-    contexts = anchors.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc", "pack")).alias("at"))
+    contexts = repeats.stored(
+        anchors.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc", "pack")).alias("at")), "words-contexts"
+    )
     runs = contexts.groupBy("h").agg(F.count("*").alias("n_contexts"))
     earlier = contexts.filter("n > 1").select("h", "c", "at")
     copies = repeats._spans(anchors.join(earlier, ["h", "c"]).filter(F.struct("doc", "pack") > F.col("at")))

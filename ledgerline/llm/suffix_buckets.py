@@ -67,7 +67,9 @@ def _buckets(key: np.ndarray) -> np.ndarray:
 def spans(rows: DataFrame, scheme: repeats.Scheme, group: int = repeats.GROUP) -> DataFrame:
     """(doc, mark, first, last): starts of repeated windows."""
     anchors = repeats.repeated_anchors(rows, scheme)
-    contexts = anchors.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc", "pack")).alias("at"))
+    contexts = repeats.stored(
+        anchors.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc", "pack")).alias("at")), "substring-contexts"
+    )
     runs = contexts.groupBy("h").agg(F.count("*").alias("n_contexts"), F.min("n").alias("_least"))
     copies = repeats._spans(anchors.join(contexts.filter("n > 1").select("h", "c"), ["h", "c"]))
     # A context that stands alone is compared with the others of its run.
