@@ -9,6 +9,11 @@ Chunks are counted by hash before any text moves, and bodies are joined to the r
 alone; equal bodies are aggregated to their first occurrence. No group of equal chunks is ever
 collected: a join row is either first or not. What is collected is a document's own lines.
 
+Chunks whose borders fall badly are missed. ``passage_words`` asks for whole passages besides: single
+lines of more words, and runs of lines of more words together in which every two neighbouring lines
+stand side by side earlier too, wherever they begin or end. These are compared by SHA-256. The first
+occurrence of every line stays, as a line is removed only where an earlier one equals it.
+
 Cases: a null text is one empty line and is returned as an empty text. Chunks of one line, or of
 blank lines only, are never removed. Of rows equal in key and text each counts as first. Rows
 equal in key alone are told apart by their text. A null key comes before all others. Columns
@@ -24,6 +29,7 @@ from ledgerline.llm.common import stored
 
 MIN_LINES = 2
 MEAN_LINES = 4  # a chunk ends after one of so many lines
+PASSAGE_WORDS = 50  # of a passage, from which on it counts, where passages are asked for
 FACTOR, MODULUS = 131, 1_000_003
 
 
@@ -62,31 +68,80 @@ def chunks(docs: DataFrame, key: str, text: str, mean_lines: int = MEAN_LINES) -
     return rows.select("_key", "_print", F.explode(F.transform("_starts", chunk)).alias("c")).select("_key", "_print", "c.*")
 
 
-def repeated_lines(
-    docs: DataFrame, key: str, text: str, *, min_lines: int = MIN_LINES, mean_lines: int = MEAN_LINES
-) -> DataFrame:
-    """_key, _print and the array of line numbers to remove, for documents that lose lines."""
-    found = chunks(docs, key, text, mean_lines).filter((F.col("n_lines") >= min_lines) & F.col("body").rlike(r"[^ \n]"))
+def _words(line: Column) -> Column:
+    return F.size(F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+
+
+def units(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """_key, _print, place, n_lines and digest (as body) of every two neighbouring lines and of every line over ``words``."""
+    rows = _lines(docs, key, text)
+
+    def unit(i: Column, n_lines: int) -> Column:
+        lines = F.array_join(F.slice("_lines", i, n_lines), "\n")
+        return F.struct(i.alias("place"), F.lit(n_lines).alias("n_lines"), F.unhex(F.sha2(lines, 256)).alias("body"))
+
+    n = F.size("_lines")
+    single = F.filter(F.sequence(F.lit(1), n), lambda i: _words(F.get("_lines", i - 1)) > words)
+    double = F.when(n >= 2, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
+    each = F.concat(F.transform(single, lambda i: unit(i, 1)), F.transform(double, lambda i: unit(i, 2)))
+    return rows.select("_key", "_print", F.explode(each).alias("u")).select("_key", "_print", "u.*")
+
+
+def _later(found: DataFrame, name: str) -> DataFrame:
+    """The rows of ``found`` whose body occurs at an earlier place."""
     hashed = found.withColumn("_hash", F.xxhash64("body"))
     # Stored, so that both sides of the join are plain exchanges, whose large keys Spark can split.
     counts = hashed.groupBy("_hash").agg(F.count("*").alias("_n"))
-    repeated = stored(counts.filter("_n > 1").select("_hash"), "line-hashes")
-    candidates = stored(hashed.join(repeated, "_hash"), "line-chunks")  # read twice, shuffled once
+    repeated = stored(counts.filter("_n > 1").select("_hash"), f"{name}-hashes")
+    candidates = stored(hashed.join(repeated, "_hash"), f"{name}-chunks")  # read twice, shuffled once
     at = F.struct("_key", "_print", "place")
     first = candidates.groupBy("_hash", "body").agg(F.min(at).alias("_first"), F.count("*").alias("_n"))
     # Equal hashes with other bytes fall apart here: the bodies themselves are joined.
-    first = stored(first.filter("_n > 1").select("_hash", "body", "_first"), "line-firsts")
-    later = candidates.join(first, ["_hash", "body"]).filter(at > F.col("_first"))
+    first = stored(first.filter("_n > 1").select("_hash", "body", "_first"), f"{name}-firsts")
+    return candidates.join(first, ["_hash", "body"]).filter(at > F.col("_first"))
+
+
+def repeated_lines(
+    docs: DataFrame, key: str, text: str, *, min_lines: int = MIN_LINES, mean_lines: int = MEAN_LINES
+) -> DataFrame:
+    """_key, _print and the array of line numbers to remove, for documents that lose lines."""
+    found = chunks(docs, key, text, mean_lines).filter((F.col("n_lines") >= min_lines) & F.col("body").rlike(r"[^ \n]"))
     lines = F.sequence("first_line", F.col("first_line") + F.col("n_lines") - 1)
-    return later.groupBy("_key", "_print").agg(F.flatten(F.collect_set(lines)).alias("_removed"))
+    return _later(found, "line").groupBy("_key", "_print").agg(F.flatten(F.collect_set(lines)).alias("_removed"))
+
+
+def repeated_passages(docs: DataFrame, key: str, text: str, words: int = PASSAGE_WORDS) -> DataFrame:
+    """_key, _print and the array of line numbers to remove, for documents that hold passages of over ``words`` again."""
+    later = _later(units(docs, key, text, words), "passage")
+    places = [F.sort_array(F.collect_set(F.when(F.col("n_lines") == n, F.col("place")))).alias(c) for n, c in ((1, "_singles"), (2, "_pairs"))]
+    found = later.groupBy("_key", "_print").agg(*places)
+    rows = _lines(docs, key, text).alias("d").join(
+        found.alias("f"), F.col("d._key").eqNullSafe(F.col("f._key")) & (F.col("d._print") == F.col("f._print"))
+    ).select("d.*", "f._singles", "f._pairs").dropDuplicates(["_key", "_print"])
+    rows = _held(rows, "_counts", F.transform("_lines", _words))
+
+    def ends(step: int) -> Column:
+        return F.filter("_pairs", lambda p, i: ~F.coalesce(F.get("_pairs", i + step) == p + step, F.lit(False)))
+
+    runs = F.zip_with(ends(-1), ends(1), lambda a, b: F.sequence(a, b + 1))
+
+    def long(run: Column) -> Column:
+        counts = F.slice("_counts", F.get(run, F.lit(0)), F.size(run))
+        return F.aggregate(counts, F.lit(0), lambda total, w: total + w) > words
+
+    removed = F.array_distinct(F.concat("_singles", F.flatten(F.filter(runs, long))))
+    return rows.select("_key", "_print", removed.alias("_removed")).filter(F.size("_removed") > 0)
 
 
 def dedup_lines(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES, mean_lines: int = MEAN_LINES,
-    keep: tuple[str, ...] = (),
+    passage_words: int | None = None, keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """key, n_lines, n_removed, and the kept lines as ``text``; plus the columns named in ``keep``."""
     removed = repeated_lines(docs, key, text, min_lines=min_lines, mean_lines=mean_lines)
+    if passage_words is not None:
+        both = removed.unionByName(repeated_passages(docs, key, text, passage_words))
+        removed = both.groupBy("_key", "_print").agg(F.array_distinct(F.flatten(F.collect_list("_removed"))).alias("_removed"))
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).alias("_key"), F.xxhash64(body).alias("_print"), body.alias("_text"), *keep)
     joined = rows.alias("d").join(

@@ -54,3 +54,48 @@ def test_awkward_rows(awkward, none):
     again = {(r.doc_id, r.text) for r in found}
     assert {(3, awkward.filter("doc_id = 3").first().text), (100, ""), (101, "")} <= again
     assert line_dedup.dedup_lines(none).count() == 0
+
+
+def plain_passages(rows, words=50):
+    """rows (key, text), unique -> key: the lines that passages take, by comparing lines and pairs of lines."""
+    first, out = {}, {}
+    cut = [(k, (t or "").split("\n")) for k, t in sorted(rows)]
+    for k, lines in cut:
+        for i in range(len(lines)):
+            first.setdefault((lines[i],), (k, i))
+            first.setdefault(tuple(lines[i : i + 2]), (k, i))
+    for k, lines in cut:
+        n = [len(line.split()) for line in lines]
+        gone = {i for i, line in enumerate(lines) if n[i] > words and first[(line,)] < (k, i)}
+        again = [first[tuple(lines[i : i + 2])] < (k, i) for i in range(len(lines) - 1)] + [False]
+        start = 0
+        for i, more in enumerate(again):
+            if not more:
+                gone |= set(range(start, i + 1)) if i > start and sum(n[start : i + 1]) > words else set()
+                start = i + 1
+        out[k] = gone
+    return out
+
+
+def test_passages_are_found_wherever_they_stand(spark):
+    pick = random.Random(3)
+    blocks = [[f"{' '.join(f'w{b}x{i}x{j}' for j in range(pick.randint(5, 60)))}." for i in range(pick.randint(1, 5))] for b in range(12)]
+    rows = []
+    for k in range(80):
+        lines = [f"own {k} {i}" for i in range(pick.randint(0, 3))] + pick.choice(blocks)[pick.randint(0, 1) :]
+        rows.append((k, "\n".join([*lines, f"between {k}", *pick.choice(blocks), *pick.choice([[], [f"end {k}"]])])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = plain_passages(rows)
+    found = {r._key: set(r._removed) for r in line_dedup.repeated_passages(df, "doc_id", "text").collect()}
+    assert found == {k: {i + 1 for i in gone} for k, gone in want.items() if gone}
+    by_chunks = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(df).collect()}
+    both = {r.doc_id: r for r in line_dedup.dedup_lines(df, passage_words=50).collect()}
+    assert all(both[k].n_removed >= max(len(want[k]), by_chunks[k]) for k, _ in rows)
+    assert sum(r.n_removed for r in both.values()) > 2 * sum(by_chunks.values())
+    stay = {line for r in both.values() for line in r.text.split("\n")}
+    assert stay >= {line for _, t in rows for line in t.split("\n")}
+
+
+def test_awkward_rows_with_passages(awkward, none):
+    assert line_dedup.dedup_lines(awkward, passage_words=50).count() == awkward.count()
+    assert line_dedup.dedup_lines(none, passage_words=50).count() == 0
