@@ -4,7 +4,7 @@ import datetime as dt
 from collections import defaultdict
 
 import pytest
-from conftest import rows
+from helpers import rows
 from dateutil.relativedelta import relativedelta
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
