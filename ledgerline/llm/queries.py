@@ -1,4 +1,4 @@
-"""The ten queries over the corpus tables, and the SQL that gives the same rows where SQL can."""
+"""The queries over the corpus tables, and the SQL that gives the same rows where SQL can."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontamination, fingerprints, line_dedup, prefix_trees, resampling, simhash, suffix_buckets, url_filter, warc
+from ledgerline.llm import bpe, chunk_pieces, decontamination, fingerprints, line_dedup, prefix_trees, resampling, simhash, suffix_buckets, url_filter, warc
 from ledgerline.llm.common import table
 
 URL_RULES = (
@@ -178,6 +178,13 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM d
 """
 
+
+def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole text to pieces and back."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return chunk_pieces.tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_suffix_buckets": op2_suffix_buckets,
@@ -189,6 +196,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_prefix_trees": op8_prefix_trees,
     "op9_fingerprints": op9_fingerprints,
     "op10_warc": op10_warc,
+    "op11_sentencepiece": op11_sentencepiece,
 }
 ORACLES: dict[str, str] = {
     "op2_suffix_buckets": OP2_SQL,
