@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, chunk_pieces, decontamination, fingerprints, line_dedup, prefix_trees, resampling, simhash, suffix_buckets, url_filter, warc
+from ledgerline.llm import bpe, chunk_pieces, decontamination, fingerprints, hard_negatives, line_dedup, prefix_trees, resampling, simhash, suffix_buckets, url_filter, warc
 from ledgerline.llm.common import table
 
 URL_RULES = (
@@ -185,6 +185,36 @@ def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return chunk_pieces.tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True)
 
 
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh row has the next label."""
+    rows = table(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    label = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+    return hard_negatives.mine(rows, "id % 100 = 0", label=label)
+
+
+OP12_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS MATERIALIZED (
+  SELECT a.r AS a, a.vec_id AS anchor_id, a.label = b.label AS same, b.r AS b, b.vec_id AS id,
+    CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT a, anchor_id, b AS p, id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, id, b) AS o FROM s WHERE same) WHERE o <= 5
+), n AS (
+  SELECT p.anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY p.a, p ORDER BY score DESC, id, b) AS rank
+  FROM p JOIN s ON p.a = s.a AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_suffix_buckets": op2_suffix_buckets,
@@ -197,10 +227,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_warc": op10_warc,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op2_suffix_buckets": OP2_SQL,
     "op7_line_dedup": OP7_SQL,
     "op8_prefix_trees": OP8_SQL,
     "op10_warc": OP10_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
