@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, chunk_pieces, decontamination, fingerprints, hard_negatives, line_dedup, prefix_trees, resampling, simhash, suffix_buckets, url_filter, warc
+from ledgerline.llm import bpe, chunk_pieces, decontamination, fingerprints, hard_negatives, line_dedup, merkle, prefix_trees, resampling, simhash, suffix_buckets, url_filter, warc
 from ledgerline.llm.common import table
 
 URL_RULES = (
@@ -215,6 +216,73 @@ SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, posit
 """
 
 
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents; one document in seven claims another length."""
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    docs = table(spark, folder, "documents", *fields)
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    longer = F.when(tampered, F.try_add(F.col("n_chars"), F.lit(1).cast("long"))).otherwise(F.col("n_chars"))
+    return merkle.manifest(docs, fields, claimed={"n_chars": longer})
+
+
+OP13_SQL = """
+WITH RECURSIVE f AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, n_chars,
+    coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+      || coalesce(octet_length(encode(source)) || ':' || source, '-')
+      || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+    coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail,
+    list_reduce(list_prepend(4294967295, range(0, 8 * length(CAST(doc_id AS VARCHAR)))), lambda c, b: xor(
+      xor(c, CASE WHEN b % 8 = 0 THEN ascii(substr(CAST(doc_id AS VARCHAR), b // 8 + 1, 1)) ELSE 0 END) >> 1,
+      3988292384 * (xor(c, CASE WHEN b % 8 = 0 THEN ascii(substr(CAST(doc_id AS VARCHAR), b // 8 + 1, 1)) ELSE 0 END) & 1))) AS crc
+  FROM documents
+), d AS MATERIALIZED (
+  SELECT doc_id, lang, leaf, claim, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i, r,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+  FROM (SELECT *, sha256(head || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+      sha256(head || coalesce(length(CAST(n_chars + t AS VARCHAR)) || ':' || (n_chars + t), '-') || tail) AS claim
+    FROM (SELECT *, CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN 1 ELSE 0 END AS t FROM f))
+), w AS (
+  SELECT 0 AS level, tree, i, leaf AS h FROM d
+  UNION ALL
+  SELECT level + 1, tree, i // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM w) WHERE n > 1 GROUP BY level, tree, i // 2
+), top AS MATERIALIZED (
+  SELECT tree, max(level) AS levels, arg_max(h, level) AS subroot FROM w GROUP BY tree
+), u AS (
+  SELECT 0 AS level, tree AS i, subroot AS h FROM top
+  UNION ALL
+  SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER () AS n FROM u) WHERE n > 1 GROUP BY level, i // 2
+), node AS MATERIALIZED (
+  SELECT level, tree, i, h FROM w UNION ALL SELECT level, -1, i, h FROM u
+), step AS MATERIALIZED (
+  SELECT d.r, s.step, s.place & 1 AS odd, coalesce(node.h, '') AS other
+  FROM (
+    SELECT r, tree, unnest(range(0, levels)) AS step, i >> unnest(range(0, levels)) AS place, unnest(range(0, levels)) AS level, tree AS own
+    FROM d JOIN top USING (tree)
+    UNION ALL
+    SELECT r, tree, levels + unnest(range(0, (SELECT max(level) FROM u))), tree >> unnest(range(0, (SELECT max(level) FROM u))),
+      unnest(range(0, (SELECT max(level) FROM u))), -1
+    FROM d JOIN top USING (tree)
+  ) s JOIN d ON s.r = d.r LEFT JOIN node ON node.tree = s.own AND node.level = s.level AND node.i = xor(s.place, 1)
+), fold AS (
+  SELECT r, 0 AS step, claim AS h FROM d
+  UNION ALL
+  SELECT fold.r, fold.step + 1, sha256(CASE WHEN odd = 1 THEN other || h ELSE h || other END)
+  FROM fold JOIN step ON fold.r = step.r AND fold.step = step.step
+), proof AS (
+  SELECT r, string_agg(other, '' ORDER BY step) AS p FROM step GROUP BY r
+), last AS (
+  SELECT r, arg_max(h, step) AS h FROM fold GROUP BY r
+)
+SELECT doc_id, leaf, subroot, (SELECT arg_max(h, level) FROM u) AS root, sha256(coalesce(p, '')) AS proof_sha256,
+  last.h AS folded_root, last.h = (SELECT arg_max(h, level) FROM u) AS verified
+FROM d JOIN top USING (tree) JOIN last USING (r) LEFT JOIN proof USING (r)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_suffix_buckets": op2_suffix_buckets,
@@ -228,6 +296,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_sentencepiece": op11_sentencepiece,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_merkle": op13_merkle,
 }
 ORACLES: dict[str, str] = {
     "op2_suffix_buckets": OP2_SQL,
@@ -235,4 +304,5 @@ ORACLES: dict[str, str] = {
     "op8_prefix_trees": OP8_SQL,
     "op10_warc": OP10_SQL,
     "op12_hard_negatives": OP12_SQL,
+    "op13_merkle": OP13_SQL,
 }
