@@ -4,15 +4,15 @@ A chunk is a run of spaces and the letters after it, up to the next space; the t
 more space, as the model file says. No piece of the model has a letter before a space, so no merge
 crosses into the next chunk, and the ids of a text are those of its chunks in their order.
 
-1. Texts are read in blocks of a few MB. A block stores its own list of distinct chunks once, and
-   every text as places in that list.
-2. The distinct chunks of all blocks are one table; each chunk is segmented once, whatever the
-   number of its places, and its ids are decoded once.
-3. The table is joined to the lists of the blocks, and every block puts ids back by position.
+1. Texts are read in blocks of some MB. A block stores its list of distinct chunks, and its texts
+   as places in that list.
+2. The lists are cut by a hash of the chunks and shuffled by bucket, a packed row for each block and
+   bucket. A bucket is a part of the table of distinct chunks: its task segments each chunk once,
+   whatever the number of its places, and answers every block's row with ids.
+3. The answers are shuffled back by block, and every block puts the ids in by position.
 
-Only lists of distinct chunks are shuffled by chunk, never the places of a frequent chunk. A chunk
-stands at most once per block; both sides of that join are plain exchanges of rows, which Spark may
-split where one chunk is in very many blocks.
+A chunk stands at most once in a block's list, so no bucket or block is hot, however frequent a word
+is. The number of buckets follows from the lists' total, so that a bucket's table fits in memory.
 
 Cases: a null text is an empty one: it has the end id alone, and decodes to an empty text. A text
 or chunk of any length is segmented whole, by a heap of merges. A literal U+2581 counts as a space,
@@ -26,12 +26,13 @@ from __future__ import annotations
 import codecs
 import hashlib
 import heapq
-import re
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import zstandard
 from pyspark import TaskContext
@@ -39,13 +40,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from ledgerline.llm.common import pieces, stored
+from ledgerline.llm.common import offsets, pieces, stored
 
 SPACE = "▁"
-CHUNK = re.compile(" +[^ ]*")
-BLOCK_BYTES = 4 << 20  # text of a block, unless one text is longer
+BLOCK_BYTES = 24 << 20  # text of a block, unless one text is longer
+BUCKET_CHUNKS = 150_000  # chunks that the lists send to a bucket, about
 MAX_MODEL_BYTES = 64 << 20  # the vocabulary is broadcast
-SEGMENT_BYTES = 1 << 20
+NEVER = float("inf")
+UNKNOWN = (NEVER, -1)
+SHORT = 64  # letters of a chunk whose best pair is looked for by a plain scan
+
 
 codecs.register_error("each byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
 
@@ -57,6 +61,7 @@ class Vocabulary:
     ranks: dict[str, tuple[float, int]]  # piece, with plain spaces: score negated, id
     names: dict[int, str]  # id: what it decodes to
     bytes: dict[int, int]  # byte: id
+    letters: dict[int, int]  # id: byte
     end: int
 
     @classmethod
@@ -84,10 +89,32 @@ class Vocabulary:
                 byte_ids[int(piece.piece[3:-1], 16)] = i
         if len(byte_ids) < 256 or " " not in ranks:
             raise ValueError("the model has no piece for every byte and for the space")
-        return cls(ranks, names, byte_ids, model.eos_id())
+        return cls(ranks, names, byte_ids, {i: b for b, i in byte_ids.items()}, model.eos_id())
 
     def segment(self, chunk: str) -> list[int]:
         """The ids of a chunk: neighbours are merged by best score, the leftmost of equal ones first."""
+        ids = []
+        for part in self._scanned(chunk) if len(chunk) <= SHORT else self._queued(chunk):
+            held = self.ranks.get(part)
+            ids += [held[1]] if held is not None else [self.bytes[b] for b in part.encode("utf-8")]
+        return ids
+
+    def _scanned(self, chunk: str) -> list[str]:
+        """Merges by a scan for the best pair."""
+        ranks, parts = self.ranks, list(chunk)
+        pairs = [ranks.get(a + b, UNKNOWN)[0] for a, b in zip(parts, parts[1:])]
+        while pairs and (best := min(pairs)) != NEVER:
+            i = pairs.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], UNKNOWN)[0]
+            if i < len(pairs):
+                pairs[i] = ranks.get(parts[i] + parts[i + 1], UNKNOWN)[0]
+        return parts
+
+    def _queued(self, chunk: str) -> list[str]:
+        """The same merges by a heap of pairs."""
         ranks, parts = self.ranks, list(chunk)
         n = len(parts)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -113,19 +140,16 @@ class Vocabulary:
                 held = ranks.get(parts[h] + whole)
                 if held is not None:
                     heapq.heappush(heap, (held[0], h, i, parts[h] + whole))
-        ids = []
-        for part in parts:
-            if part:
-                held = ranks.get(part)
-                ids += [held[1]] if held is not None else [self.bytes[b] for b in part.encode("utf-8")]
-        return ids
+        return [p for p in parts if p]
 
-    def spell(self, ids: Iterable[int]) -> str:
+    def spell(self, ids: list[int]) -> str:
         """The text of ids, with the space that the text starts with; control ids spell nothing.
 
         Byte pieces that follow each other are read as UTF-8 together, each broken byte as U+FFFD.
         """
-        letters = {i: b for b, i in self.bytes.items()}
+        names, letters = self.names, self.letters
+        if letters.keys().isdisjoint(ids):
+            return "".join([names.get(i, "") for i in ids])
         out, raw = [], bytearray()
         for i in ids:
             if i in letters:
@@ -134,60 +158,129 @@ class Vocabulary:
             if raw:
                 out.append(raw.decode("utf-8", "each byte"))
                 raw.clear()
-            out.append(self.names.get(i, ""))
+            out.append(names.get(i, ""))
         out.append(raw.decode("utf-8", "each byte"))
         return "".join(out)
 
 
-class Codes(dict):
-    """Numbers chunks in the order in which they are first looked up."""
+def chunk_places(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct chunks of all texts, the places of each text's chunks among them, end to end, and how many."""
+    spaced = pc.binary_join_element_wise(" ", pc.replace_substring(texts, SPACE, " "), "")
+    cut = pc.replace_substring_regex(pc.if_else(pc.equal(pc.binary_length(texts), 0), "", spaced), "( +)", SPACE + r"\1")
+    lists = pc.split_pattern(cut, SPACE)  # what stands before the first mark is empty
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype("int64")
+    flat, chunk = lists.flatten(), np.ones(int(sizes.sum()), bool)
+    chunk[np.cumsum(sizes) - sizes] = False
+    found = flat.filter(pa.array(chunk)).dictionary_encode()
+    return found.dictionary, found.indices.to_numpy(zero_copy_only=False).astype("int32"), sizes - 1
+
 
-    def __missing__(self, chunk: str) -> int:
-        self[chunk] = n = len(self)
-        return n
+def pack(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed planes of their bytes."""
+    return pack(np.ascontiguousarray(numbers, "int32").view("uint8").reshape(-1, 4).T.tobytes())
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(unpack(data), "uint8").reshape(4, -1).T.copy().view("int32").ravel()
 
 
 def coded(docs: DataFrame) -> DataFrame:
-    """(block, key, codes, chunks): a row per text, and one per block with its distinct chunks.
+    """(block, keys, sizes, codes, chunks, n_chunks): a stored row per block of texts.
 
-    The rows of a block lie in one partition, and its number is made of the partition's; stored,
-    so that later passes see the same blocks.
+    A block lies in one partition, and its number is made of the partition's; stored, so that
+    all later passes see the same blocks.
     """
-    schema = f"block long, key {docs.schema['key'].dataType.simpleString()}, codes binary, chunks array<string>"
+    kind = docs.schema["key"].dataType.simpleString()
+    schema = f"block long, keys array<{kind}>, sizes binary, codes binary, chunks binary, n_chunks long"
+
+    def block_of(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        chunks, codes, sizes = chunk_places(batch.column("text"))
+        keys = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("key"))
+        packed = pa.array([pack_numbers(sizes)]), pa.array([pack_numbers(codes)]), pa.array([pack(SPACE.join(chunks.to_pylist()).encode())])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), keys, *packed, pa.array([len(chunks)], pa.int64())],
+            ["block", "keys", "sizes", "codes", "chunks", "n_chunks"],
+        )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
-        press = zstandard.ZstdCompressor(level=1)
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in pieces(batches, "text", BLOCK_BYTES):
-            codes, texts = Codes(), batch.column("text").to_pylist()
-            packed = []
-            for text in texts:
-                places = map(codes.__getitem__, CHUNK.findall(f" {text}".replace(SPACE, " "))) if text else ()
-                packed.append(press.compress(np.fromiter(places, "int32").tobytes()))
-            n = batch.num_rows
-            keys = batch.column("key")
+            more = int(np.diff(offsets(batch.column("text"))).sum())
+            if held and size + more > BLOCK_BYTES:
+                yield block_of(number, held)
+                number, held, size = number + 1, [], 0
+            held.append(batch)
+            size += more
+        if held:
+            yield block_of(number, held)
+
+    return stored(docs.mapInArrow(run, schema), "chunk-codes")
+
+
+def _list(row: dict) -> list[str]:
+    return unpack(row["chunks"]).decode().split(SPACE) if row["n_chunks"] else []
+
+
+def buckets_of(chunks: list[str], n: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(c.encode()) for c in chunks), "int64", len(chunks)) % n
+
+
+def asked(blocks: DataFrame, n: int) -> DataFrame:
+    """(bucket, block, chunks): each block's chunks of each bucket, packed."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for b in batches for r in b.to_pylist()):
+            chunks = _list(row)
+            bucket = buckets_of(chunks, n)
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(n + 1))
+            places = order.tolist()
+            found = [(b, pack(SPACE.join([chunks[i] for i in places[ends[b] : ends[b + 1]]]).encode())) for b in range(n) if ends[b] < ends[b + 1]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * (n + 1), pa.int64()), pa.concat_arrays([keys, pa.nulls(1, keys.type)]),
-                 pa.array([*packed, None], pa.binary()), pa.array([None] * n + [list(codes)], pa.list_(pa.string()))],
-                ["block", "key", "codes", "chunks"],
+                [pa.array([b for b, _ in found], pa.int64()), pa.array([row["block"]] * len(found), pa.int64()), pa.array([c for _, c in found], pa.binary())],
+                ["bucket", "block", "chunks"],
             )
-            block += 1
 
-    return stored(docs.mapInArrow(run, schema), "chunk-codes")
+    return blocks.select("block", "chunks", "n_chunks").mapInArrow(run, "bucket long, block long, chunks binary")
+
 
+def segmented(lists: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(of, bucket, sizes, ids): the ids of each block's chunks of each bucket, packed.
 
-def segmented(chunks: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(chunk, ids, spelt): the ids of every chunk as decimal text, and what they decode to."""
-    held = chunks.sparkSession.sparkContext.broadcast(vocabulary)
+    The rows of a bucket follow each other in one task, which holds the bucket's table of chunks.
+    """
+    held = lists.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = held.value
-        for batch in pieces(batches, "chunk", SEGMENT_BYTES):
-            found = [table.segment(c) for c in batch.column("chunk").to_pylist()]
-            ids = pa.array([" ".join(map(str, i)) for i in found], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("chunk"), ids, pa.array(map(table.spell, found), pa.string())], ["chunk", "ids", "spelt"])
+        segment, bucket, table = held.value.segment, None, {}
+        for batch in batches:
+            sizes, ids = [], []
+            for own, chunks in zip(batch.column("bucket").to_pylist(), batch.column("chunks")):
+                if own != bucket:
+                    bucket, table = own, {}
+                found = []
+                for chunk in unpack(chunks.as_py()).decode().split(SPACE):
+                    one = table.get(chunk)
+                    if one is None:
+                        one = table[chunk] = np.array(segment(chunk), "int32")
+                    found.append(one)
+                sizes.append(pack_numbers(np.fromiter(map(len, found), "int32", len(found))))
+                ids.append(pack_numbers(np.concatenate(found)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("bucket"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())], ["of", "bucket", "sizes", "ids"]
+            )
 
-    return chunks.mapInArrow(run, "chunk string, ids string, spelt string")
+    dealt = lists.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "of long, bucket long, sizes binary, ids binary")
 
 
 def tokens(
@@ -199,12 +292,10 @@ def tokens(
     n_tokens and the SHA-256 of the ids (decimal, joined by one space) and of the decoded text.
     """
     vocabulary = Vocabulary.read(model_path)
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    blocks = coded(rows)
-    lists = blocks.filter("chunks IS NOT NULL").select(F.col("block").alias("of"), F.posexplode("chunks").alias("place", "chunk"))
-    # Stored, so that both sides of the join are plain exchanges, whose large keys Spark can split.
-    distinct = stored(segmented(lists.select("chunk").distinct(), vocabulary), "chunk-table")
-    found = lists.join(distinct, "chunk").select("of", "place", "ids", "spelt")
+    held = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    blocks = coded(docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")))
+    n = -(-max(blocks.agg(F.coalesce(F.sum("n_chunks"), F.lit(0))).first()[0], 1) // BUCKET_CHUNKS)
+    answers = segmented(asked(blocks, n), vocabulary)
 
     kind = docs.schema[key].dataType.simpleString()
     names = ["key", "n_tokens"] + (["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])
@@ -214,22 +305,47 @@ def tokens(
     def sha(text: str) -> str:
         return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
-    def put_back(texts: pa.Table, table: pa.Table) -> pa.Table:
-        ids, spelt = [""] * table.num_rows, [""] * table.num_rows
-        for place, i, s in zip(*(table.column(c).to_pylist() for c in ("place", "ids", "spelt"))):
-            ids[place], spelt[place] = i, s
-        open_ = zstandard.ZstdDecompressor()
-        n, first, second = [], [], []
-        for packed in texts.column("codes"):
-            places = np.frombuffer(open_.decompress(packed.as_py()), "int32").tolist()
-            all_ids = " ".join([*map(ids.__getitem__, places), end])
-            decoded = "".join(map(spelt.__getitem__, places))[1:]
-            n.append(all_ids.count(" ") + 1)
-            first.append(sha(all_ids) if digests else [int(i) for i in all_ids.split(" ")])
-            second.append(sha(decoded) if digests else decoded)
-        kind = pa.string() if digests else pa.list_(pa.int32())
-        return pa.table([texts.column("key"), pa.array(n, pa.int64()), pa.array(first, kind), pa.array(second, pa.string())], names)
-
-    texts = blocks.filter("chunks IS NULL").select("block", "key", "codes")
-    both = texts.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(put_back, schema)
+    def table_of(buckets: np.ndarray, found: pa.Table) -> tuple[list[str], list[str]]:
+        """Ids as decimal text, and what they spell, of each chunk of a block in its own order."""
+        names, spell = [str(i) for i in range(1 + max(max(held.value.names), max(held.value.letters)))], held.value.spell
+        ids, spelt = [""] * len(buckets), [""] * len(buckets)
+        order = np.argsort(buckets, kind="stable")
+        starts = dict(zip(*np.unique(buckets[order], return_index=True)))
+        for bucket, sizes, packed in zip(*(found.column(c).to_pylist() for c in ("bucket", "sizes", "ids"))):
+            all_ids, at = unpack_numbers(packed).tolist(), 0
+            sizes = unpack_numbers(sizes).tolist()
+            first = starts[bucket]
+            for place, size in zip(order[first : first + len(sizes)].tolist(), sizes):
+                own = all_ids[at : at + size]
+                ids[place], spelt[place] = " ".join([names[i] for i in own]), spell(own)
+                at += size
+        return ids, spelt
+
+    def put_back(texts: pa.Table, found: pa.Table) -> pa.Table:
+        n_tokens, first, second, keys = [], [], [], []
+        for row in texts.to_pylist():
+            buckets = unpack_numbers(row["buckets"])
+            ids, spelt = table_of(buckets, found)
+            codes, at = unpack_numbers(row["codes"]), 0
+            keys += row["keys"]
+            for size in unpack_numbers(row["sizes"]).tolist():
+                places = codes[at : at + size].tolist()
+                at += size
+                all_ids = " ".join([*map(ids.__getitem__, places), end])
+                decoded = "".join(map(spelt.__getitem__, places))[1:]
+                n_tokens.append(all_ids.count(" ") + 1)
+                first.append(sha(all_ids) if digests else [int(i) for i in all_ids.split(" ")])
+                second.append(sha(decoded) if digests else decoded)
+        kinds = texts.schema.field("keys").type.value_type, pa.int64(), pa.string() if digests else pa.list_(pa.int32()), pa.string()
+        return pa.table([pa.array(c, t) for c, t in zip((keys, n_tokens, first, second), kinds)], names)
+
+    def with_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets = [pack_numbers(buckets_of(_list(r), n)) for r in batch.select(["chunks", "n_chunks"]).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("block", "keys", "sizes", "codes")), pa.array(buckets, pa.binary())], ["block", "keys", "sizes", "codes", "buckets"]
+            )
+
+    texts = blocks.mapInArrow(with_buckets, f"block long, keys array<{kind}>, sizes binary, codes binary, buckets binary")
+    both = texts.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(put_back, schema)
     return both.withColumnRenamed("key", key)

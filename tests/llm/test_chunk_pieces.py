@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -22,8 +23,8 @@ def vocabulary():
 
 
 def encoded(vocabulary, text):
-    chunks = chunk_pieces.CHUNK.findall(f" {text}".replace(chunk_pieces.SPACE, " ")) if text else []
-    return [i for c in chunks for i in vocabulary.segment(c)] + [vocabulary.end]
+    chunks, codes, _ = chunk_pieces.chunk_places(pa.array([text]))
+    return [i for c in codes for i in vocabulary.segment(chunks[c].as_py())] + [vocabulary.end]
 
 
 def test_random_texts(library, vocabulary):
@@ -37,10 +38,17 @@ def test_random_texts(library, vocabulary):
 
 
 @pytest.mark.parametrize("text", ["ab" * 5000, " " * 5001, "a " * 3000 + " " * 77, "étéé東" * 900, "▁" * 33 + "x"])
-def test_long_chunks(library, vocabulary, text):
+def test_long_texts(library, vocabulary, text):
     assert encoded(vocabulary, text) == library.encode(text, add_eos=True)
 
 
+def test_scan_and_heap_merge_alike(vocabulary):
+    pick = random.Random(9)
+    for _ in range(3000):
+        chunk = " " * pick.randint(1, 5) + "".join(pick.choices("aetinosr'é9", k=pick.randint(0, 20)))
+        assert vocabulary._scanned(chunk) == vocabulary._queued(chunk)
+
+
 def test_spelling_of_broken_bytes(library, vocabulary):
     for ids in ([3 + 0xE6, 3 + 0x9D, 264], [264, 3 + 0xFF, 3 + 0x41, 1, 2], [2], [28705, 28705, 3 + 0xC3, 2]):
         assert vocabulary.spell(ids).removeprefix(" ") == library.decode(ids)
@@ -62,10 +70,11 @@ def test_blocks_do_not_change_the_result(spark, library, monkeypatch):
     pick = random.Random(4)
     rows = [(i, " ".join(pick.choices(["the", "tree", "", "東京", "x" * 40], k=pick.randint(0, 60)))) for i in range(300)]
     monkeypatch.setattr(chunk_pieces, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(chunk_pieces, "BUCKET_CHUNKS", 25)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     blocks = chunk_pieces.coded(df.withColumnRenamed("doc_id", "key"))
     found = chunk_pieces.tokens(df, PATH).collect()
-    assert blocks.filter("chunks IS NOT NULL").count() == blocks.select("block").distinct().count() > 20
+    assert blocks.count() == blocks.select("block").distinct().count() > 20
     want = {i: library.encode(t, add_eos=True) for i, t in rows}
     assert {r.doc_id: r.ids for r in found} == want
     assert {r.doc_id: r.decoded for r in found} == {i: library.decode(x) for i, x in want.items()}
