@@ -4,15 +4,20 @@ A chunk is a run of spaces and the letters after it, up to the next space; the t
 more space, as the model file says. No piece of the model has a letter before a space, so no merge
 crosses into the next chunk, and the ids of a text are those of its chunks in their order.
 
-1. Texts are read in blocks of some MB. A block stores its list of distinct chunks, and its texts
-   as places in that list.
+1. Texts are read in blocks of some MB. A block is its list of distinct chunks, and its texts as
+   places in that list.
 2. The lists are cut by a hash of the chunks and shuffled by bucket, a packed row for each block and
    bucket. A bucket is a part of the table of distinct chunks: its task segments each chunk once,
    whatever the number of its places, and answers every block's row with ids.
 3. The answers are shuffled back by block, and every block puts the ids in by position.
 
 A chunk stands at most once in a block's list, so no bucket or block is hot, however frequent a word
-is. The number of buckets follows from the lists' total, so that a bucket's table fits in memory.
+is. The number of buckets follows from the bytes of all texts, so that a bucket's table fits in memory.
+
+Lists and places come from two reads of the same files, which Spark cuts alike; nothing but the
+lists, the answers and the places is written. A block carries a hash of its list, and a block that
+came out otherwise the second time is an error, never a wrong id. Inputs that are more than a read of
+files are stored first.
 
 Cases: a null text is an empty one: it has the end id alone, and decodes to an empty text. A text
 or chunk of any length is segmented whole, by a heap of merges. A literal U+2581 counts as a space,
@@ -44,7 +49,7 @@ from ledgerline.llm.common import offsets, pieces, stored
 
 SPACE = "▁"
 BLOCK_BYTES = 24 << 20  # text of a block, unless one text is longer
-BUCKET_CHUNKS = 150_000  # chunks that the lists send to a bucket, about
+BUCKET_BYTES = 6 << 20  # text of all blocks for each bucket; its table holds less than that in letters
 MAX_MODEL_BYTES = 64 << 20  # the vocabulary is broadcast
 NEVER = float("inf")
 UNKNOWN = (NEVER, -1)
@@ -192,69 +197,77 @@ def unpack_numbers(data: bytes) -> np.ndarray:
     return np.frombuffer(unpack(data), "uint8").reshape(4, -1).T.copy().view("int32").ravel()
 
 
-def coded(docs: DataFrame) -> DataFrame:
-    """(block, keys, sizes, codes, chunks, n_chunks): a stored row per block of texts.
+@dataclass(frozen=True)
+class Block:
+    number: int
+    keys: pa.Array
+    sizes: np.ndarray  # chunks of each text
+    codes: np.ndarray  # places of the texts' chunks in the list, end to end
+    chunks: list[str]
 
-    A block lies in one partition, and its number is made of the partition's; stored, so that
-    all later passes see the same blocks.
-    """
-    kind = docs.schema["key"].dataType.simpleString()
-    schema = f"block long, keys array<{kind}>, sizes binary, codes binary, chunks binary, n_chunks long"
+    @property
+    def mark(self) -> int:
+        """A hash of the list, by which both passes know that they read the same block."""
+        return int.from_bytes(hashlib.blake2b(SPACE.join(self.chunks).encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def blocks_of(batches: Iterable[pa.RecordBatch], most_bytes: int) -> Iterator[Block]:
+    """The texts of a partition in blocks, whose numbers are made of the partition's."""
 
-    def block_of(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def block_of(number: int, held: list[pa.RecordBatch]) -> Block:
         batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
         chunks, codes, sizes = chunk_places(batch.column("text"))
-        keys = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("key"))
-        packed = pa.array([pack_numbers(sizes)]), pa.array([pack_numbers(codes)]), pa.array([pack(SPACE.join(chunks.to_pylist()).encode())])
-        return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), keys, *packed, pa.array([len(chunks)], pa.int64())],
-            ["block", "keys", "sizes", "codes", "chunks", "n_chunks"],
-        )
+        return Block(number, batch.column("key"), sizes, codes, chunks.to_pylist())
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, size = TaskContext.get().partitionId() << 32, [], 0
-        for batch in pieces(batches, "text", BLOCK_BYTES):
-            more = int(np.diff(offsets(batch.column("text"))).sum())
-            if held and size + more > BLOCK_BYTES:
-                yield block_of(number, held)
-                number, held, size = number + 1, [], 0
-            held.append(batch)
-            size += more
-        if held:
+    number, held, size = TaskContext.get().partitionId() << 32, [], 0
+    for batch in pieces(batches, "text", most_bytes):
+        more = int(np.diff(offsets(batch.column("text"))).sum())
+        if held and size + more > most_bytes:
             yield block_of(number, held)
-
-    return stored(docs.mapInArrow(run, schema), "chunk-codes")
-
-
-def _list(row: dict) -> list[str]:
-    return unpack(row["chunks"]).decode().split(SPACE) if row["n_chunks"] else []
+            number, held, size = number + 1, [], 0
+        held.append(batch)
+        size += more
+    if held:
+        yield block_of(number, held)
 
 
 def buckets_of(chunks: list[str], n: int) -> np.ndarray:
     return np.fromiter((zlib.crc32(c.encode()) for c in chunks), "int64", len(chunks)) % n
 
 
-def asked(blocks: DataFrame, n: int) -> DataFrame:
-    """(bucket, block, chunks): each block's chunks of each bucket, packed."""
+def asked(docs: DataFrame, n: int) -> DataFrame:
+    """(bucket, block, mark, chunks): each block's chunks of each bucket, packed."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for b in batches for r in b.to_pylist()):
-            chunks = _list(row)
-            bucket = buckets_of(chunks, n)
+        for block in blocks_of(batches, BLOCK_BYTES):
+            bucket = buckets_of(block.chunks, n)
             order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(n + 1))
+            ends = np.searchsorted(bucket[order], np.arange(n + 1)).tolist()
             places = order.tolist()
-            found = [(b, pack(SPACE.join([chunks[i] for i in places[ends[b] : ends[b + 1]]]).encode())) for b in range(n) if ends[b] < ends[b + 1]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in found], pa.int64()), pa.array([row["block"]] * len(found), pa.int64()), pa.array([c for _, c in found], pa.binary())],
-                ["bucket", "block", "chunks"],
-            )
+            lists = [[block.chunks[i] for i in places[a:b]] for a, b in zip(ends, ends[1:])]
+            found = [(b, pack(SPACE.join(own).encode())) for b, own in enumerate(lists) if own]
+            columns = [pa.array(c, pa.int64()) for c in ([b for b, _ in found], [block.number] * len(found), [block.mark] * len(found))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([c for _, c in found], pa.binary())], ["bucket", "block", "mark", "chunks"])
+
+    return docs.mapInArrow(run, "bucket long, block long, mark long, chunks binary")
+
 
-    return blocks.select("block", "chunks", "n_chunks").mapInArrow(run, "bucket long, block long, chunks binary")
+def placed(docs: DataFrame, n: int) -> DataFrame:
+    """(block, mark, keys, sizes, codes, buckets): each block's texts as places, and the bucket of each chunk."""
+    kind = docs.schema["key"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks_of(batches, BLOCK_BYTES):
+            keys = pa.ListArray.from_arrays(pa.array([0, len(block.keys)], pa.int32()), block.keys)
+            packed = [pa.array([pack_numbers(x)]) for x in (block.sizes, block.codes, buckets_of(block.chunks, n))]
+            numbers = pa.array([block.number], pa.int64()), pa.array([block.mark], pa.int64())
+            yield pa.RecordBatch.from_arrays([*numbers, keys, *packed], ["block", "mark", "keys", "sizes", "codes", "buckets"])
+
+    return docs.mapInArrow(run, f"block long, mark long, keys array<{kind}>, sizes binary, codes binary, buckets binary")
 
 
 def segmented(lists: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(of, bucket, sizes, ids): the ids of each block's chunks of each bucket, packed.
+    """(of, of_mark, bucket, sizes, ids): the ids of each block's chunks of each bucket, packed.
 
     The rows of a bucket follow each other in one task, which holds the bucket's table of chunks.
     """
@@ -276,26 +289,29 @@ def segmented(lists: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 sizes.append(pack_numbers(np.fromiter(map(len, found), "int32", len(found))))
                 ids.append(pack_numbers(np.concatenate(found)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("bucket"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())], ["of", "bucket", "sizes", "ids"]
+                [*(batch.column(c) for c in ("block", "mark", "bucket")), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())],
+                ["of", "of_mark", "bucket", "sizes", "ids"],
             )
 
     dealt = lists.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "of long, bucket long, sizes binary, ids binary")
+    return dealt.mapInArrow(run, "of long, of_mark long, bucket long, sizes binary, ids binary")
 
 
 def tokens(
-    docs: DataFrame, model_path: str, *, key: str = "doc_id", text: str = "text", digests: bool = False
+    docs: DataFrame, model_path: str, *, key: str = "doc_id", text: str = "text", digests: bool = False, bare: bool = False
 ) -> DataFrame:
     """Encode each text with an end id, and decode its ids again.
 
     Returns key, n_tokens (the end id counts), ids (array) and decoded; or with ``digests`` key,
     n_tokens and the SHA-256 of the ids (decimal, joined by one space) and of the decoded text.
+    ``bare`` says that ``docs`` only reads and filters files; it is stored otherwise.
     """
     vocabulary = Vocabulary.read(model_path)
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    blocks = coded(docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")))
-    n = -(-max(blocks.agg(F.coalesce(F.sum("n_chunks"), F.lit(0))).first()[0], 1) // BUCKET_CHUNKS)
-    answers = segmented(asked(blocks, n), vocabulary)
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    rows = rows if bare else stored(rows, "chunk-texts")
+    n = -(-max(rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0], 1) // BUCKET_BYTES)
+    answers = segmented(asked(rows, n), vocabulary)
 
     kind = docs.schema[key].dataType.simpleString()
     names = ["key", "n_tokens"] + (["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"])
@@ -325,6 +341,8 @@ def tokens(
         n_tokens, first, second, keys = [], [], [], []
         for row in texts.to_pylist():
             buckets = unpack_numbers(row["buckets"])
+            if len(buckets) and not found.num_rows:
+                raise RuntimeError("a block of texts changed between two reads: the input is more than a read of files")
             ids, spelt = table_of(buckets, found)
             codes, at = unpack_numbers(row["codes"]), 0
             keys += row["keys"]
@@ -339,13 +357,5 @@ def tokens(
         kinds = texts.schema.field("keys").type.value_type, pa.int64(), pa.string() if digests else pa.list_(pa.int32()), pa.string()
         return pa.table([pa.array(c, t) for c, t in zip((keys, n_tokens, first, second), kinds)], names)
 
-    def with_buckets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            buckets = [pack_numbers(buckets_of(_list(r), n)) for r in batch.select(["chunks", "n_chunks"]).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("block", "keys", "sizes", "codes")), pa.array(buckets, pa.binary())], ["block", "keys", "sizes", "codes", "buckets"]
-            )
-
-    texts = blocks.mapInArrow(with_buckets, f"block long, keys array<{kind}>, sizes binary, codes binary, buckets binary")
-    both = texts.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(put_back, schema)
+    both = placed(rows, n).groupBy("block", "mark").cogroup(answers.groupBy("of", "of_mark")).applyInArrow(put_back, schema)
     return both.withColumnRenamed("key", key)

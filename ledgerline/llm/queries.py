@@ -183,7 +183,7 @@ FROM d
 def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Every whole text to pieces and back."""
     docs = table(spark, folder, "documents", "doc_id", "text")
-    return chunk_pieces.tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True)
+    return chunk_pieces.tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), digests=True, bare=True)
 
 
 

@@ -70,9 +70,9 @@ def test_blocks_do_not_change_the_result(spark, library, monkeypatch):
     pick = random.Random(4)
     rows = [(i, " ".join(pick.choices(["the", "tree", "", "東京", "x" * 40], k=pick.randint(0, 60)))) for i in range(300)]
     monkeypatch.setattr(chunk_pieces, "BLOCK_BYTES", 700)
-    monkeypatch.setattr(chunk_pieces, "BUCKET_CHUNKS", 25)
+    monkeypatch.setattr(chunk_pieces, "BUCKET_BYTES", 2000)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    blocks = chunk_pieces.coded(df.withColumnRenamed("doc_id", "key"))
+    blocks = chunk_pieces.placed(df.withColumnRenamed("doc_id", "key"), 3)
     found = chunk_pieces.tokens(df, PATH).collect()
     assert blocks.count() == blocks.select("block").distinct().count() > 20
     want = {i: library.encode(t, add_eos=True) for i, t in rows}
@@ -80,6 +80,12 @@ def test_blocks_do_not_change_the_result(spark, library, monkeypatch):
     assert {r.doc_id: r.decoded for r in found} == {i: library.decode(x) for i, x in want.items()}
 
 
+def test_a_block_that_changes_is_an_error(spark, monkeypatch):
+    df = spark.range(200).selectExpr("id AS doc_id", "concat('w', CAST(rand() AS string)) AS text")
+    with pytest.raises(Exception, match="changed between two reads"):
+        chunk_pieces.tokens(df.selectExpr("doc_id", "concat(text, uuid()) AS text"), PATH, bare=True).collect()
+
+
 def test_awkward_rows(awkward, none, library):
     found = sorted(((r.doc_id, r.n_tokens, r.ids, r.decoded) for r in chunk_pieces.tokens(awkward, PATH).collect()), key=str)
     want = []
