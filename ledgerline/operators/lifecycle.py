@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import minutes_between, ntz
-from ledgerline.operators.skew import running
+from ledgerline.operators.skew import laid_out, running, scan
 
 
 def first_times(df: DataFrame, user: str, ts: str, kind: str, kinds: dict[str, str]) -> DataFrame:
@@ -88,13 +88,19 @@ def sessions(
     tiebreak: str,
     gap_minutes: int,
     measures: dict[str, Column],
+    seen: dict[str, tuple[str, Column, bool]] | None = None,
 ) -> DataFrame:
-    """Cut each user's events where the pause exceeds the gap; one row per session."""
-    before = running(df, [user], [ts, tiebreak], {"_before": ("max", F.col(ts), False)})
+    """Cut each user's events where the pause exceeds the gap; one row per session.
+
+    ``seen`` are further running columns that the measures may read. They and the event before are
+    found in one scan, the session numbers in a second one over the same stored layout.
+    """
+    rows = laid_out(df, [user], [ts, tiebreak])
+    before = scan(rows, [user], {"_before": ("max", F.col(ts), False), **(seen or {})})
     starts = F.col("_before").isNull() | (
         F.col(ts) > F.col("_before") + F.make_dt_interval(mins=F.lit(gap_minutes))
     )
-    numbered = running(before, [user], [ts, tiebreak], {"session_no": ("sum", starts.cast("long"), True)})
+    numbered = scan(before, [user], {"session_no": ("sum", starts.cast("long"), True)})
     return numbered.groupBy(user, "session_no").agg(
         F.min(ts).alias("session_start"),
         F.max(ts).alias("session_end"),

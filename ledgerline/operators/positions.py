@@ -94,7 +94,7 @@ def next_debit(closed: DataFrame, debits: DataFrame) -> DataFrame:
         )
     )
     # Of a debit and a closing at one time the debit sorts first: only later ones count.
-    seen = running(both, ["user_id"], ["at", "kind", "tie"], {"withdrawn_at": ("min", F.col("debit_at"), False)}, reverse=True)
+    seen = running(both, ["user_id"], ["at", "kind", "tie"], {"withdrawn_at": ("min", F.col("debit_at"), False)}, reverse=True, bare=False)
     return seen.filter("kind = 1").select(F.col("tie").alias("position_key"), F.col("at").alias("closed_at"), "withdrawn_at")
 
 

@@ -1,7 +1,12 @@
-"""Running totals per key that no single task has to sort whole.
+"""Running aggregates per key over a table laid out once in key and time order.
 
-Every key takes the same path, whatever its size, the null key included: rows run inside their
-minute, minutes inside their day, days inside their key. What came before is carried over.
+Rows are range-partitioned by key, order and tiebreak, sorted, and stored with their partition and
+place. A key lies in as many partitions as its rows need, whatever share of the table it has, and
+rows of one time, or of none, are told apart by the tiebreak, so they are spread too. A scan then
+runs inside each partition, and what a key had in earlier partitions is carried over: of each
+partition only the first key can have begun before, so there is at most one carry per partition.
+
+Any number of scans reads one layout, also scans of what earlier scans found.
 """
 
 from __future__ import annotations
@@ -11,7 +16,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators.keys import _ROW_BITS, _once
+from ledgerline.session import scratch
+
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
+PART, PLACE = "_part", "_place"
 
 
 def _merge(kind: str, carry: Column, local: Column) -> Column:
@@ -22,75 +31,83 @@ def _merge(kind: str, carry: Column, local: Column) -> Column:
     return F.coalesce(carry + local, carry, local)
 
 
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    scans: dict[str, tuple[str, Column, bool]],
-    *,
-    reverse: bool = False,
+def laid_out(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, bare: bool = True, partitions: int | None = None
 ) -> DataFrame:
-    """Running aggregates per key along ``order``.
+    """The rows stored in the order of keys and ``order``, nulls first, with partition and place.
+
+    ``order`` ends in a tiebreak, which takes part in the ranges. Choosing them reads ``df`` once
+    more; ``bare`` says that it only reads and filters files, otherwise it is stored before.
+    """
+    columns = [*keys, *order]
+    df = df if bare else _once(df, "scan-rows")
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *columns).sortWithinPartitions(*columns)
+    placed = ranged.withColumn(PART, F.spark_partition_id()).withColumn(PLACE, F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
+    path = scratch(df.sparkSession, "scan")
+    placed.write.parquet(path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
 
-    ``scans`` maps an output column to (sum | min | max | count, value, include current row).
-    ``order`` starts with a timestamp and ends with a tiebreak. With ``reverse`` the rows are
-    read from the last to the first. Rows without a time form a minute of their own, which comes
-    first, or last in reverse.
 
-    The minute of a row depends on the row alone, so every branch of the plan cuts alike. A key
-    with a third of all rows is spread over all its minutes; the windows over minutes of a day
-    and over days of a key hold one row for each of them.
+def scan(
+    rows: DataFrame, keys: Sequence[str], scans: dict[str, tuple[str, Column, bool]], *, reverse: bool = False
+) -> DataFrame:
+    """Running aggregates per key over rows that ``laid_out`` has stored.
+
+    ``scans`` maps an output column to (sum | min | max | count, value, include current row). With
+    ``reverse`` the rows are read from the last to the first. The result is laid out as the rows
+    are: another scan may read its columns, and costs no further exchange of rows.
     """
-    keys, order = list(keys), list(order)
+    key = F.struct(*keys)  # never null, so that null keys compare like others
     names = {out: f"_in_{out}" for out in scans}
-    df = df.withColumns({names[out]: value for out, (_, value, _) in scans.items()})
-    outcome = {
-        out: F.col(out).cast(df.schema[names[out]].dataType)
-        for out, (kind, _, _) in scans.items()
-        if kind != "count"
-    }
-
-    def direction(column: str) -> Column:
-        return F.desc(column) if reverse else F.asc(column)
+    rows = rows.withColumns({names[out]: value for out, (_, value, _) in scans.items()})
 
-    def frame(window, inclusive: bool):
-        return window.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    def along(column: str) -> Column:
+        return F.desc(column) if reverse else F.asc(column)
 
     def summed(kind: str) -> str:
         return "sum" if kind == "count" else kind  # counts of parts are added up
 
-    def parts(source: DataFrame, by: str, into: str, prefix: str) -> DataFrame:
-        """One row per minute or day, with its aggregates."""
-        return source.groupBy(by).agg(
-            *[_AGG[kind if prefix == "_in_" else summed(kind)](f"{prefix}{out}").alias(f"{into}{out}") for out, (kind, _, _) in scans.items()]
-        )
-
-    def carried(source: DataFrame, by: str, along: str, column: str, into: str) -> DataFrame:
-        """What the parts before each part add up to."""
-        window = frame(Window.partitionBy(by).orderBy(direction(along)), False)
-        return source.withColumns({f"{into}{out}": _AGG[summed(kind)](f"{column}{out}").over(window) for out, (kind, _, _) in scans.items()})
-
-    # Structs are never null, so that null keys and times join like others.
-    key = F.struct(*keys)
-    span = F.struct(key.alias("key"), F.to_date(order[0]).alias("day"))
-    chunk = F.struct(span.alias("span"), F.date_trunc("minute", F.col(order[0]).cast("timestamp_ntz")).alias("minute"))
-    cut = df.withColumn("_chunk", chunk)
-
-    minutes = parts(cut, "_chunk", "_minute_", "_in_").withColumn("_span", F.col("_chunk.span"))
-    days = parts(minutes, "_span", "_day_", "_minute_").withColumn("_key", F.col("_span.key"))
-    days = carried(days, "_key", "_span.day", "_day_", "_days_").select("_span", *[f"_days_{out}" for out in scans])
-    minutes = carried(minutes, "_span", "_chunk.minute", "_minute_", "_minutes_").join(days, "_span")
-    carry = minutes.select(
-        "_chunk",
-        *[_merge(kind, F.col(f"_days_{out}"), F.col(f"_minutes_{out}")).alias(f"_carry_{out}") for out, (kind, _, _) in scans.items()],
-    )
-
-    window = Window.partitionBy("_chunk").orderBy(*[direction(c) for c in order])
-    local = cut.withColumns(
-        {out: _AGG[kind](names[out]).over(frame(window, inclusive)) for out, (kind, _, inclusive) in scans.items()}
+    # What each partition has of a key, and of those that began in an earlier one, what came before.
+    parts = rows.groupBy(PART, key.alias("_key")).agg(*[_AGG[kind](names[out]).alias(out) for out, (kind, _, _) in scans.items()])
+    by_part = Window.partitionBy("_key").orderBy(along(PART))
+    before = by_part.rowsBetween(Window.unboundedPreceding, -1)
+    carries = parts.select(
+        F.col(PART).alias("_of"), F.col("_key").alias("_carried"), F.row_number().over(by_part).alias("_turn"),
+        *[_AGG[summed(kind)](out).over(before).alias(f"_carry_{out}") for out, (kind, _, _) in scans.items()],
     )
-    merged = local.join(carry, "_chunk").withColumns(
-        {out: _merge(kind, F.col(f"_carry_{out}"), F.col(out)) for out, (kind, _, _) in scans.items()}
+    carries = carries.filter("_turn > 1").drop("_turn")
+
+    own = Window.partitionBy(PART, *keys).orderBy(along(PLACE))
+    local = rows.withColumns(
+        {
+            out: _AGG[kind](names[out]).over(own.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+            for out, (kind, _, inclusive) in scans.items()
+        }
     )
-    kept = [c for c in df.columns if c not in names.values()]
-    return merged.withColumns(outcome).select(*kept, *scans)
+    # At most one row per partition: the one key that goes on from the partition before.
+    joined = local.join(F.broadcast(carries), F.col(PART) == F.col("_of"), "left")
+    goes_on = key.eqNullSafe(F.col("_carried"))
+    merged = {}
+    for out, (kind, _, _) in scans.items():
+        found = F.when(goes_on, _merge(kind, F.col(f"_carry_{out}"), F.col(out))).otherwise(F.col(out))
+        merged[out] = found if kind == "count" else found.cast(rows.schema[names[out]].dataType)
+    kept = [c for c in rows.columns if c not in names.values() and c not in scans]
+    return joined.withColumns(merged).select(*kept, *scans)
+
+
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    scans: dict[str, tuple[str, Column, bool]],
+    *,
+    reverse: bool = False,
+    bare: bool = True,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Running aggregates per key along ``order``, for one scan of a table: see ``laid_out`` and ``scan``."""
+    names = {out: f"_value_{out}" for out in scans}
+    valued = df.withColumns({names[out]: value for out, (_, value, _) in scans.items()})
+    rows = laid_out(valued, list(keys), list(order), bare=bare, partitions=partitions)
+    found = scan(rows, list(keys), {out: (kind, F.col(names[out]), inclusive) for out, (kind, _, inclusive) in scans.items()}, reverse=reverse)
+    return found.select(*df.columns, *scans)

@@ -409,10 +409,10 @@ def session_login_review(t):
     """Sessions cut at 30 idle minutes, with logins and the reviews that follow a login within 30 minutes."""
     kind, ts = F.col("event_type"), F.col("ts")
     events = t.events.select("event_id", "user_id", "ts", "event_type")
-    seen = lifecycle.with_last_login(events, "user_id", "ts", "event_id", kind == "view", "login_at")
+    login = {"login_at": ("max", F.when(kind == "view", ts), True)}
     belongs = (kind == "click") & (ts <= cal.plus(F.col("login_at"), minutes=30))
     measures = {"logins": F.count_if(kind == "view"), "reviews_after_login": F.count_if(belongs)}
-    return lifecycle.sessions(seen, "user_id", "ts", "event_id", 30, measures)
+    return lifecycle.sessions(events, "user_id", "ts", "event_id", 30, measures, login)
 
 
 @query(

@@ -19,7 +19,7 @@ def plan(spark, folder, name) -> str:
         ("filter_lower_bound", "GreaterThanOrEqual(o_orderdate"),
         ("filter_equals_string", "EqualTo(c_mktsegment,BUILDING)"),
         ("metric_signups", "EqualTo(event_type,signup)"),
-        ("running_wallet_balance", "In(event_type"),
+        ("wallet_topup", "In(event_type"),
     ],
 )
 def test_filters_reach_the_scan(spark, folder, name, pushed):
@@ -56,3 +56,10 @@ def test_no_window_over_the_whole_table(spark, folder, name):
         # The one global window allowed runs over the per-partition counts of the key builder.
         if "Exchange SinglePartition" in line:
             assert "metric_rfm" == name
+
+
+@pytest.mark.parametrize("name", ["running_wallet_balance", "join_asof_last_login", "withdrawal_retry_pairs"])
+def test_a_scan_exchanges_its_rows_once(spark, folder, name):
+    """Besides the stored layout: one exchange of rows by part and key, two of a row per part and key."""
+    text = plan(spark, folder, name)
+    assert text.count("FileScan parquet") == 2 and text.count("Exchange hashpartitioning") == 3
