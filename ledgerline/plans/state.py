@@ -243,18 +243,26 @@ def initial_backfill(t):
 
 
 @query(
-    """SELECT user_id AS wallet_id, CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase'), 0)
-AS DECIMAL(18,2)) AS balance, max(ts) FILTER (WHERE event_type = 'view') AS last_login_at,
-min(ts) FILTER (WHERE event_type = 'purchase') AS funded_at, count(*) AS events FROM events GROUP BY user_id"""
+    """WITH k AS (SELECT *, row_number() OVER o AS event_key, count(*) FILTER (WHERE event_type IN ('purchase', 'error')) OVER
+(o ROWS UNBOUNDED PRECEDING) AS tx FROM events WINDOW o AS (ORDER BY ts NULLS FIRST, CAST(event_id AS VARCHAR)))
+SELECT user_id, min(ts) FILTER (WHERE event_type = 'signup') AS signup_at, min(ts) FILTER (WHERE event_type = 'click') AS kyc_at,
+max(ts) FILTER (WHERE event_type = 'view') AS last_login_at, max(event_key) AS last_event_key, count(*) AS events,
+CAST(CASE WHEN count(*) FILTER (WHERE event_type IN ('purchase', 'error')) > 0 THEN coalesce(sum(CAST(value AS DECIMAL(18,2)))
+FILTER (WHERE event_type = 'purchase'), 0) END AS DECIMAL(18,2)) AS balance, min(ts) FILTER (WHERE event_type = 'purchase') AS funded_at,
+max(tx) FILTER (WHERE event_type IN ('purchase', 'error')) AS last_transaction_key FROM k GROUP BY user_id"""
 )
 def incremental_daily_load(t):
-    """History, then the last three days of the log one by one, the very last one twice."""
+    """History, then the last three days of the log one by one, the very last one twice.
+
+    Users and wallets as the last commit shows them; users without a transaction have no wallet.
+    """
     root = scratch(t.spark, "daily")
-    last = t.events.agg(F.to_date(F.max("ts"))).first()[0]
-    if last is None:
-        return daily.changes(t.events)
+    last = t.events.agg(F.to_date(F.max("ts"))).first()[0] or EVENTS_AS_OF
     days = [last - dt.timedelta(days=n) for n in (2, 1, 0, 0)]
-    state = daily.backfill(t.events, days[0], root)
+    daily.backfill(t.events, days[0], root)
     for day in days:
-        state = daily.run_day(t.events, day, root)
-    return state
+        daily.run_day(t.events, day, root)
+    wallets = daily.as_of(t.spark, root, "wallets").drop("last_updated_at")
+    users = daily.as_of(t.spark, root, "users")
+    both = users.join(wallets, users["user_id"].eqNullSafe(wallets["wallet_id"]), "left")
+    return both.drop("wallet_id")

@@ -6,7 +6,6 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from ledgerline.operators import daily
 from ledgerline.schemas import INPUT
 from ledgerline.session import scratch
 from ledgerline.sources import readers
@@ -126,24 +125,3 @@ def test_upsert_with_null_keys_and_a_repeated_batch(spark, inbox):
     drained = drain.upsert(jobs.last_logins(events), "null-keys", ["user_id"])
     plain = batch(spark, inbox).withColumn("user_id", F.when(F.col("user_id") % 3 > 0, F.col("user_id")))
     assert rows(drained) == rows(jobs.last_logins(plain))
-
-
-def test_a_corrected_day_is_carried_forward(spark, tables):
-    root = scratch(spark, "corrected")
-    first, last = dt.date(2024, 1, 28), dt.date(2024, 1, 30)
-    daily.backfill(tables.events, first, root)
-    daily.rerun_from(tables.events, first, last, root)
-    without = tables.events.filter(F.to_date("ts") != F.lit(dt.date(2024, 1, 29)))
-    state = daily.rerun_from(without, dt.date(2024, 1, 29), last, root)
-    assert rows(state) == rows(daily.changes(without))
-    assert spark.read.parquet(f"{root}/facts").count() == without.count()
-
-
-def test_days_one_by_one_equal_one_load(spark, tables):
-    root = scratch(spark, "daily")
-    daily.backfill(tables.events, dt.date(2024, 1, 29), root)
-    for day in (29, 30, 29, 30):
-        state = daily.run_day(tables.events, dt.date(2024, 1, day), root)
-    assert rows(state) == rows(daily.changes(tables.events))
-    facts = spark.read.parquet(f"{root}/facts")
-    assert facts.count() == tables.events.count()
