@@ -68,12 +68,12 @@ def spans(rows: DataFrame, scheme: repeats.Scheme, group: int = repeats.GROUP) -
     """(doc, mark, first, last): starts of windows that also start earlier."""
     anchors = repeats.repeated_anchors(rows, scheme)
     contexts = repeats.stored(
-        anchors.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc", "pack")).alias("at")), "words-contexts"
+        anchors.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc", "pack", "mark")).alias("at")), "words-contexts"
     )
     runs = contexts.groupBy("h").agg(F.count("*").alias("n_contexts"))
     earlier = contexts.filter("n > 1").select("h", "c", "at")
-    copies = repeats._spans(anchors.join(earlier, ["h", "c"]).filter(F.struct("doc", "pack") > F.col("at")))
-    wanted = contexts.join(runs.filter("n_contexts > 1"), "h").select("h", "n", "n_contexts", "at.doc", "at.pack")
+    copies = repeats._spans(anchors.join(earlier, ["h", "c"]).filter(F.struct("doc", "pack", "mark") > F.col("at")))
+    wanted = contexts.join(runs.filter("n_contexts > 1"), "h").select("h", "n", "n_contexts", "at.doc", "at.pack", "at.mark")
     content = repeats.stored(repeats.contents(rows, wanted, scheme), "words-contents")
 
     def resolve(found: repeats.Contexts) -> np.ndarray:

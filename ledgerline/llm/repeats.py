@@ -14,8 +14,8 @@ A group of more than ``group`` contexts is not put in one task: its windows are
 64-bit hashes instead. Counts are aggregated before the shuffle and joined back; the adaptive join
 splits runs that very many documents share.
 
-A document is named by its key and 16 bits of a hash of its text, so that rows of one key with
-other texts stay apart.
+A document is named by its key and a 64-bit hash of its text, so that rows of one key with other
+texts stay apart.
 """
 
 from __future__ import annotations
@@ -39,9 +39,9 @@ CHUNK = 3000  # contexts compared at a time, or one larger group
 PLACE_BITS = 31
 U = np.uint64
 
-ROW = "h long, c long, doc long, pack long"
-CONTENT = "h long, n long, n_contexts long, doc long, pack long, content binary"
-SPAN = "doc long, mark int, first int, last int"
+ROW = "h long, c long, doc long, pack long, mark long"
+CONTENT = "h long, n long, n_contexts long, doc long, pack long, mark long, content binary"
+SPAN = "doc long, mark long, first int, last int"
 
 
 @dataclass(frozen=True)
@@ -107,36 +107,35 @@ def anchors(values: np.ndarray, bounds: np.ndarray, scheme: Scheme) -> Anchors:
     return Anchors(text, place, low, high, runs[place], context)
 
 
-def pack_of(place: np.ndarray, mark: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Place of a run in its text, mark of the text, and how far its windows' starts lie before it."""
-    return (place << 32) | (mark << 16) | (left << 8) | right
+def pack_of(place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Place of a run in its text, and how far its windows' starts lie before it."""
+    return (place << 32) | (left << 8) | right
 
 
-def unpack(pack: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Mark, and first and last window start in the text."""
+def unpack(pack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window start in the text."""
     place = pack >> 32
-    return (pack >> 16) & 0xFFFF, place - ((pack >> 8) & 0xFF), place - (pack & 0xFF)
+    return place - ((pack >> 8) & 0xFF), place - (pack & 0xFF)
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    mark = F.xxhash64(body).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    return docs.select(F.col(key).cast("long").alias("doc"), mark.alias("mark"), body.alias("text"))
+    return docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(body).alias("mark"), body.alias("text"))
 
 
 def anchor_rows(rows: DataFrame, scheme: Scheme) -> DataFrame:
-    """(h, c, doc, pack): run, context, document, and place with mark and extents of the context."""
+    """(h, c, doc, pack, mark): run, context, document, and place with the extents of the context."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", RUN_BYTES):
             values, bounds = scheme.values(batch.column("text"))
             found = anchors(values, bounds, scheme)
-            mark = batch.column("mark").to_numpy().astype("int64")[found.text]
-            pack = pack_of(found.place - bounds[found.text], mark, found.place - found.low, found.place - found.high)
+            pack = pack_of(found.place - bounds[found.text], found.place - found.low, found.place - found.high)
+            of = pa.array(found.text)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.run.view("int64")), pa.array(found.context.view("int64")),
-                 batch.column("doc").take(pa.array(found.text)), pa.array(pack)],
-                ["h", "c", "doc", "pack"],
+                 batch.column("doc").take(of), pa.array(pack), batch.column("mark").take(of)],
+                ["h", "c", "doc", "pack", "mark"],
             )
 
     return rows.mapInArrow(run, ROW)
@@ -147,7 +146,7 @@ def _spans(df: DataFrame) -> DataFrame:
     place = F.shiftright("pack", 32)
     return df.select(
         "doc",
-        F.shiftright("pack", 16).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("mark"),
+        "mark",
         (place - F.shiftright("pack", 8).bitwiseAND(F.lit(0xFF))).cast("int").alias("first"),
         (place - F.col("pack").bitwiseAND(F.lit(0xFF))).cast("int").alias("last"),
     )
@@ -162,7 +161,7 @@ def _packed_texts(rows: DataFrame) -> DataFrame:
             z = [press.compress(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), pa.array(z, pa.binary())], ["doc", "mark", "z"])
 
-    return rows.mapInArrow(run, "doc long, mark int, z binary")
+    return rows.mapInArrow(run, "doc long, mark long, z binary")
 
 
 def unpacked(column: pa.Array) -> list[bytes]:
@@ -178,12 +177,11 @@ def _join_texts(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
 
 
 def contents(rows: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
-    """The units of each wanted context (h, n, n_contexts, doc, pack): bytes, or 8 bytes per word.
+    """The units of each wanted context (h, n, n_contexts, doc, pack, mark): bytes, or 8 bytes per word.
 
     Of rows equal in key and text one is read.
     """
-    mark = F.shiftright("pack", 16).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    lists = wanted.groupBy("doc", mark.alias("mark")).agg(F.collect_list(F.struct("h", "n", "n_contexts", "pack")).alias("wanted"))
+    lists = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("h", "n", "n_contexts", "pack")).alias("wanted"))
     once = _join_texts(_packed_texts(rows), lists, "inner").dropDuplicates(["doc", "mark"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +191,7 @@ def contents(rows: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
             flat = lists.flatten()
             text = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
             h, n, n_contexts, pack = (flat.field(i) for i in range(4))
-            _, first, last = unpack(pack.to_numpy())
+            first, last = unpack(pack.to_numpy())
             if scheme.units == "bytes":
                 data, bounds = text_bytes(texts)
                 whole, unit = data.tobytes(), 1
@@ -203,8 +201,8 @@ def contents(rows: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
             a, b = (bounds[text] + first) * unit, (bounds[text] + last + scheme.length) * unit
             cut = [whole[i:j] for i, j in zip(a.tolist(), b.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [h, n, n_contexts, batch.column("doc").take(pa.array(text)), pack, pa.array(cut, pa.binary())],
-                ["h", "n", "n_contexts", "doc", "pack", "content"],
+                [h, n, n_contexts, batch.column("doc").take(pa.array(text)), pack, batch.column("mark").take(pa.array(text)), pa.array(cut, pa.binary())],
+                ["h", "n", "n_contexts", "doc", "pack", "mark", "content"],
             )
 
     return once.mapInArrow(run, CONTENT)
@@ -233,9 +231,9 @@ class Contexts:
 def contexts_of(batch: pa.RecordBatch, scheme: Scheme) -> Contexts:
     data, bounds = text_bytes(batch.column("content"))
     unit = 1 if scheme.units == "bytes" else 8
-    mark, first, last = unpack(batch.column("pack").to_numpy())
+    first, last = unpack(batch.column("pack").to_numpy())
     values = data if unit == 1 else np.frombuffer(data.tobytes(), "uint64")
-    doc = batch.column("doc").fill_null(-(1 << 63)).to_numpy()
+    doc, mark = batch.column("doc").fill_null(-(1 << 63)).to_numpy(), batch.column("mark").to_numpy()
     return Contexts(
         batch.column("h").to_numpy(), batch.column("n").to_numpy(), doc, mark, first, last - first + 1, bounds[:-1] // unit, values
     )
@@ -253,7 +251,7 @@ def _runs_of(found: Contexts, which: np.ndarray, place: np.ndarray, batch: pa.Re
     a = np.flatnonzero(new)
     b = np.append(a[1:], len(which))[: len(a)] - 1
     return pa.RecordBatch.from_arrays(
-        [batch.column("doc").take(pa.array(which[a])), pa.array(found.mark[which[a]].astype("int32")),
+        [batch.column("doc").take(pa.array(which[a])), pa.array(found.mark[which[a]]),
          pa.array(start[a].astype("int32")), pa.array(start[b].astype("int32"))],
         ["doc", "mark", "first", "last"],
     )
@@ -296,7 +294,7 @@ def grouped_spans(content: DataFrame, scheme: Scheme, resolve: Resolver) -> Data
     return content.repartition("h").sortWithinPartitions("h").mapInArrow(run, SPAN)
 
 
-WINDOW = "w1 long, w2 long, n long, doc long, mark int, start int"
+WINDOW = "w1 long, w2 long, n long, doc long, mark long, start int"
 
 
 def window_rows(content: DataFrame, scheme: Scheme) -> DataFrame:
@@ -314,7 +312,7 @@ def window_rows(content: DataFrame, scheme: Scheme) -> DataFrame:
             start = found.first[which] + place - found.base[which]
             yield pa.RecordBatch.from_arrays(
                 [*pair, pa.array(found.n[which]), batch.column("doc").take(pa.array(which)),
-                 pa.array(found.mark[which].astype("int32")), pa.array(start.astype("int32"))],
+                 pa.array(found.mark[which]), pa.array(start.astype("int32"))],
                 ["w1", "w2", "n", "doc", "mark", "start"],
             )
 

@@ -68,13 +68,13 @@ def spans(rows: DataFrame, scheme: repeats.Scheme, group: int = repeats.GROUP) -
     """(doc, mark, first, last): starts of repeated windows."""
     anchors = repeats.repeated_anchors(rows, scheme)
     contexts = repeats.stored(
-        anchors.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc", "pack")).alias("at")), "substring-contexts"
+        anchors.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc", "pack", "mark")).alias("at")), "substring-contexts"
     )
     runs = contexts.groupBy("h").agg(F.count("*").alias("n_contexts"), F.min("n").alias("_least"))
     copies = repeats._spans(anchors.join(contexts.filter("n > 1").select("h", "c"), ["h", "c"]))
     # A context that stands alone is compared with the others of its run.
     open_runs = runs.filter("n_contexts > 1 AND _least = 1").select("h", "n_contexts")
-    wanted = contexts.join(open_runs, "h").select("h", "n", "n_contexts", "at.doc", "at.pack")
+    wanted = contexts.join(open_runs, "h").select("h", "n", "n_contexts", "at.doc", "at.pack", "at.mark")
     content = repeats.stored(repeats.contents(rows, wanted, scheme), "substring-contents")
 
     def resolve(found: repeats.Contexts) -> np.ndarray:

@@ -1,8 +1,9 @@
 """Words, and hashes of word runs, of many texts at once.
 
 A word is a maximal run of bytes other than space, tab, line feed, vertical tab, form feed and
-carriage return. Hashes come from sums of mixed bytes times powers of an odd number, modulo
-2**64; a run's hash is a difference of two prefix sums, moved to a common power.
+carriage return. Hashes come from sums of mixed bytes times powers of a number, modulo the prime
+2**61 - 1; a run's hash is a difference of two prefix sums, moved to a common power. (Modulo a power
+of two, texts made by doubling, such as Thue-Morse words and their complements, would collide.)
 """
 
 from __future__ import annotations
@@ -11,7 +12,10 @@ import numpy as np
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(BASE, -1, 1 << 64)
+PRIME = (1 << 61) - 1
+_POINT = 0x1B873593CC9E2D51 % PRIME  # where the polynomials are evaluated
+_INVERSE = pow(_POINT, -1, PRIME)
+_LOW, _MIDDLE = U((1 << 31) - 1), U((1 << 30) - 1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers: dict[int, np.ndarray] = {}
@@ -28,30 +32,45 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_LETTER = mix(np.arange(1, 257, dtype="uint64") * U(0x2545F4914F6CDD1D))
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Values below 2**64 modulo the prime."""
+    x = (x & U(PRIME)) + (x >> U(61))
+    return np.where(x >= U(PRIME), x - U(PRIME), x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime, from halves of 31 bits, since 2**61 is one."""
+    a_high, a_low, b_high, b_low = a >> U(31), a & _LOW, b >> U(31), b & _LOW
+    middle = a_high * b_low + a_low * b_high
+    return reduced(((a_high * b_high) << U(1)) + (middle >> U(30)) + ((middle & _MIDDLE) << U(31)) + a_low * b_low)
+
+
+_LETTER = reduced(mix(np.arange(1, 257, dtype="uint64") * U(0x2545F4914F6CDD1D)))
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1), held for later calls."""
+    """base**0 .. base**(n-1) modulo the prime, held for later calls."""
     held = _powers.get(base)
     if held is None or len(held) < n:
-        held = np.full(max(n, 1 << 16), base, "uint64")
-        held[0] = 1
-        held = np.multiply.accumulate(held)
+        held = np.ones(1, "uint64") if held is None else held
+        while len(held) < max(n, 1 << 16):
+            held = np.concatenate([held, times(held, U(pow(base, len(held), PRIME)))])
         _powers[base] = held
     return held[:n]
 
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:
-    """Sums of value * BASE**place before each place; one longer than ``values``."""
+    """Sums of value times power before each place, modulo the prime; one longer than ``values``."""
+    terms = times(reduced(np.asarray(values, "uint64")), powers(_POINT, len(values)))
+    low, high = np.cumsum(terms & _LOW, dtype="uint64"), np.cumsum(terms >> U(31), dtype="uint64")
     sums = np.zeros(len(values) + 1, "uint64")
-    np.cumsum(values * powers(BASE, len(values)), out=sums[1:])
+    sums[1:] = reduced(low + (high >> U(30)) + ((high & _MIDDLE) << U(31)))
     return sums
 
 
 def run_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash for each run [start, end), the same for equal runs wherever they stand."""
-    return mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(sums))[starts])
+    return mix(times(reduced(sums[ends] + (U(PRIME) - sums[starts])), powers(_INVERSE, len(sums))[starts]))
 
 
 def byte_values(data: np.ndarray) -> np.ndarray:

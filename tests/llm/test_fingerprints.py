@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +71,21 @@ def test_sketches_merge_and_compare(spark):
     ).first()
     assert abs(r[0] - 0.25) < 0.13 and r[1] == 1.0 and abs(r[2] / 5996 - 1) < 0.3
     assert tuple(r[3:]) == (1.0, 1.0, 0.0)  # the empty set lies in every set
+
+
+def test_words_made_by_doubling_have_other_fingerprints():
+    from test_repeats import thue_morse
+
+    one, two = thue_morse(11)
+    same = " ".join(f"w{i}" for i in range(19))
+    a, b = f.sketches_of(pa.array([f"{same} {one}", f"{same} {two}"]))
+    assert a.tolist() != b.tolist() and 0.8 < f.likeness(a, b) < 1
+
+
+def test_sketches_are_the_smallest_hashes_of_all_shingles(awkward):
+    texts = [t or "" for _, t in awkward.select("doc_id", "text").collect()]
+    for text, found in zip(texts, f.sketches_of(pa.array(texts), 16, 3)):
+        own = text.split()
+        shingles = {" ".join(own[i : i + 3]) for i in range(len(own) - 2)} or ({text} if own else set())
+        every = {int(h) for s in shingles for h in f.sketches_of(pa.array([s]), 1, 3)[0]}
+        assert found.tolist() == sorted(every)[:16]

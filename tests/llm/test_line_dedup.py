@@ -4,28 +4,39 @@ import random
 from ledgerline.llm import line_dedup
 
 
-def plain(rows, mean=4, least=2):
-    """rows (key, text), unique -> (key, n_lines, n_removed, kept text)."""
+def plain_chunks(rows, mean=4, least=2):
+    """rows (key, text), unique -> key: the lines of repeated chunks."""
     cut = []
     for k, t in rows:
         lines = (t or "").split("\n")
         h = [int(hashlib.md5(s.encode()).hexdigest()[:7], 16) for s in lines]
         starts = [0] + [i for i in range(1, len(lines)) if ((h[i - 2] if i >= 2 else 0) * 131 + h[i - 1]) % 1_000_003 % mean == 0]
         cut.append((k, lines, [(a, b) for a, b in zip(starts, [*starts[1:], len(lines)])]))
-    seen, out = set(), []
+    seen, out = set(), {}
     for k, lines, parts in sorted(cut, key=lambda c: (c[0] is not None, c[0] or 0)):
-        kept = []
+        gone = out[k] = set()
         for a, b in parts:
             body = "\n".join(lines[a:b])
-            if b - a >= least and body.strip(" \n") and body in seen:
-                continue
-            if b - a >= least:
+            if b - a >= least and body.strip(" \n"):
+                if body in seen:
+                    gone.update(range(a, b))
                 seen.add(body)
-            kept += lines[a:b]
-        out.append((k, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def without(rows, gone):
+    """rows (key, text) -> (key, n_lines, n_removed, kept text)."""
+    out = []
+    for k, t in rows:
+        lines = (t or "").split("\n")
+        out.append((k, len(lines), len(gone[k]), "\n".join(line for i, line in enumerate(lines) if i not in gone[k])))
     return sorted(out, key=str)
 
 
+def plain(rows, mean=4, least=2):
+    return without(rows, plain_chunks(rows, mean, least))
+
+
 def test_against_a_plain_version(spark):
     pick = random.Random(8)
     blocks = [[f"line {b} {i}" for i in range(pick.randint(3, 14))] for b in range(5)]

@@ -5,8 +5,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
-from ledgerline.llm import prefix_trees, repeats, suffix_buckets
+from ledgerline.llm import prefix_trees, repeats, suffix_buckets, words
 
 
 def without(units, covered):
@@ -29,17 +30,20 @@ def plain_bytes(rows, length):
 
 
 def plain_words(rows, length):
-    """rows (key, text) -> (key, n_words, n_removed, kept); equal rows are one document."""
-    first, texts = {}, [(k, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for k, t in rows]
-    for k, w in texts:
+    """rows (key, text) -> (key, n_words, n_removed, kept); equal rows are one document.
+
+    Texts of one key are ordered by the place of the window, then by a hash of the text.
+    """
+    first, texts = {}, [(k, re.findall(r"[^\x20\x09-\x0D]+", t or ""), np.uint64(xxhash.xxh64_intdigest(t or "", 42)).astype("int64")) for k, t in rows]
+    for k, w, mark in texts:
         for s in range(len(w) - length + 1):
-            window, at = tuple(w[s : s + length]), ((-1 if k is None else k), s)
+            window, at = tuple(w[s : s + length]), ((-1 if k is None else k), s, mark)
             first[window] = min(at, first.get(window, at))
     out = []
-    for k, w in texts:
+    for k, w, mark in texts:
         gone = set()
         for s in range(len(w) - length + 1):
-            if first[tuple(w[s : s + length])] < ((-1 if k is None else k), s):
+            if first[tuple(w[s : s + length])] < ((-1 if k is None else k), s, mark):
                 gone.update(range(s, s + length))
         out.append((k, len(w), len(gone), " ".join(without(w, gone))))
     return sorted(out, key=str)
@@ -84,6 +88,48 @@ def test_words_against_all_windows(spark, seed, group):
     assert sorted(map(tuple, found), key=str) == plain_words(rows, 6)
 
 
+def test_thousands_of_texts_under_one_null_key(spark):
+    pick = random.Random(8)
+    shared = [" ".join(f"s{j}w{i}" for i in range(9)) for j in range(700)]
+    rows = [(None, " ".join([f"a{i}", pick.choice(shared), f"b{i}", pick.choice(shared)])) for i in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = suffix_buckets.remove_repeats(df, length=24, run=7).collect()
+    assert sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in found), key=str) == plain_bytes(rows, 24)
+    found = prefix_trees.remove_repeats(df, length=6, run=2).collect()
+    assert sorted(map(tuple, found), key=str) == plain_words(rows, 6)
+
+
+def thue_morse(n):
+    """A word of 2**n letters and its complement."""
+    word = "a"
+    for _ in range(n):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_made_by_doubling_do_not_collide(spark):
+    one, two = thue_morse(11)
+    same = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{same} {one}"), (2, f"{same} {two}"), (3, f"{one} {same}"), (4, same + one)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in prefix_trees.remove_repeats(df).collect()} == {1: 0, 2: 0, 3: 0, 4: 0}
+    found = suffix_buckets.remove_repeats(df, length=200).collect()
+    assert sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in found), key=str) == plain_bytes(rows, 200)
+
+
+def test_run_hashes_are_polynomials_modulo_the_prime():
+    pick = np.random.default_rng(3)
+    a, b = (pick.integers(0, words.PRIME, 1000, dtype="uint64") for _ in range(2))
+    a[:3], b[:3] = words.PRIME - 1, [0, 1, words.PRIME - 1]
+    assert words.times(a, b).tolist() == [int(x) * int(y) % words.PRIME for x, y in zip(a, b)]
+    assert words.powers(12345, 70_000)[69_999] == pow(12345, 69_999, words.PRIME)
+    values = pick.integers(0, 1 << 63, 400, dtype="uint64") * np.uint64(2)
+    sums = words.prefix_sums(np.concatenate([values, values, values]))
+    starts = np.arange(0, 1200, 400)
+    assert len(set(words.run_hashes(sums, starts, starts + 400).tolist())) == 1
+    assert len(set(words.run_hashes(sums, np.arange(400), np.arange(400) + 30).tolist())) == 400
+
+
 def test_awkward_rows(awkward, none):
     rows = [tuple(r) for r in awkward.select("doc_id", "text").collect()]
     found = suffix_buckets.remove_repeats(awkward, digest=True).collect()
