@@ -84,12 +84,15 @@ def stream_last_login(t):
 
 
 @query(
-    """SELECT f.event_id AS failed_id, s.event_id AS success_id, f.user_id, f.ts AS failed_at, s.ts AS success_at
-FROM events f JOIN events s ON s.user_id = f.user_id AND s.ts > f.ts AND s.ts <= f.ts + INTERVAL 1 DAY
-WHERE f.event_type = 'error' AND s.event_type = 'purchase'"""
+    """WITH w AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY AS w FROM events WHERE event_type IN ('error', 'purchase')),
+p AS (SELECT f.event_id AS failed_id, arg_min(s.event_id, (s.ts, s.event_id)) AS success_id, f.user_id, f.ts AS failed_at, min(s.ts) AS success_at
+FROM events f LEFT JOIN events s ON s.user_id = f.user_id AND s.ts > f.ts AND s.ts <= f.ts + INTERVAL 1 DAY AND s.event_type = 'purchase'
+WHERE f.event_type = 'error' AND f.ts IS NOT NULL GROUP BY f.event_id, f.user_id, f.ts)
+SELECT p.* FROM p, w WHERE coalesce(success_at, failed_at + INTERVAL 1 DAY) <= w"""
 )
 def stream_failed_then_success(t):
-    rows = drain.append(jobs.failed_then_success(_events(t)), "retries")
+    """Failures that the last watermark has decided; those of the last hours are still open."""
+    rows = drain.append(jobs.failed_then_success(_events(t)), "retries", store=drain.ROCKSDB)
     return rows.withColumns(naive("failed_at", "success_at"))
 
 

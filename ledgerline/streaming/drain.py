@@ -32,11 +32,21 @@ def start_append(stream: DataFrame, root: str, by: Sequence[str] = ()) -> Stream
     return job
 
 
-def append(stream: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
-    """Drain in append mode and read the sink."""
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def append(stream: DataFrame, name: str, by: Sequence[str] = (), store: str | None = None) -> DataFrame:
+    """Drain in append mode and read the sink; ``store`` names a state store for this job alone."""
     spark = stream.sparkSession
     root = scratch(spark, name)
-    start_append(stream, root, by)
+    usual = spark.conf.get(STORE)
+    if store:
+        spark.conf.set(STORE, store)
+    try:
+        start_append(stream, root, by)
+    finally:
+        spark.conf.set(STORE, usual)
     return spark.read.schema(stream.schema).parquet(f"{root}/rows")
 
 

@@ -6,10 +6,14 @@ is bounded by a watermark, or by the number of users where the result is one row
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import money
+from ledgerline.streaming import retries
+from ledgerline.streaming.retries import NextSuccess
 
 WATERMARK = "1 day"
 
@@ -86,20 +90,20 @@ def lifecycle_states(events: DataFrame) -> DataFrame:
     return times.withColumn("state", state)
 
 
-def failed_then_success(events: DataFrame, within: str = "1 day") -> DataFrame:
-    """Failed fundings followed by a success of the same user within the interval.
+def failed_then_success(events: DataFrame, within: dt.timedelta = dt.timedelta(days=1)) -> DataFrame:
+    """Each failed funding with its user's next success within the interval, or with none.
 
-    Both sides carry a watermark, so that old rows leave the join state.
+    A row comes out once per failure, when the watermark has decided it; see ``retries``. Failures
+    and successes without a time are never decided and do not count. Needs the RocksDB state store.
     """
-    failed = events.filter(F.col("event_type") == "error").select(
-        F.col("event_id").alias("failed_id"), F.col("user_id").alias("failed_user"), F.col("ts").alias("failed_at")
+    tried = events.filter(F.col("event_type").isin("error", "purchase") & F.col("ts").isNotNull()).withWatermark("ts", WATERMARK)
+    of = F.col("user_id").cast("string").alias("of")  # a number with nulls among it would lose digits on the way
+    rows = tried.select(of, "event_id", "ts", F.unix_micros("ts").alias("us"), (F.col("event_type") == "error").alias("failed"))
+    decided = rows.groupBy("of").transformWithStateInPandas(
+        NextSuccess(int(within.total_seconds() * 1_000_000)), outputStructType=retries.OUT, outputMode="Append", timeMode="EventTime"
     )
-    succeeded = events.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
-    left = failed.withWatermark("failed_at", WATERMARK)
-    right = succeeded.withWatermark("ts", WATERMARK)
-    later = (F.col("ts") > F.col("failed_at")) & (F.col("ts") <= F.col("failed_at") + F.expr(f"interval {within}"))
-    return left.join(right, (F.col("failed_user") == F.col("user_id")) & later).select(
-        "failed_id", F.col("event_id").alias("success_id"), "user_id", "failed_at", F.col("ts").alias("success_at")
+    return decided.select(
+        "failed_id", "success_id", F.col("of").cast("long").alias("user_id"), F.timestamp_micros("failed_us").alias("failed_at"), F.timestamp_micros("success_us").alias("success_at")
     )
 
 

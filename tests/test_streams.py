@@ -48,8 +48,8 @@ def test_many_batches_equal_one_batch(spark, inbox, job, keys):
 
 
 def test_interval_join_over_batches(spark, inbox):
-    drained = drain.append(jobs.failed_then_success(stream(spark, inbox)), "pairs")
-    assert rows(drained) == rows(jobs.failed_then_success(batch(spark, inbox)))
+    drained = drain.append(jobs.failed_then_success(stream(spark, inbox)), "pairs", store=drain.ROCKSDB)
+    assert rows(drained) == next_successes(batch(spark, inbox).select("event_id", "user_id", "ts", "event_type").collect())
 
 
 def test_closed_sessions_equal_batch_sessions(spark, inbox):
@@ -125,3 +125,33 @@ def test_upsert_with_null_keys_and_a_repeated_batch(spark, inbox):
     drained = drain.upsert(jobs.last_logins(events), "null-keys", ["user_id"])
     plain = batch(spark, inbox).withColumn("user_id", F.when(F.col("user_id") % 3 > 0, F.col("user_id")))
     assert rows(drained) == rows(jobs.last_logins(plain))
+
+
+def next_successes(events):
+    """One row per failure that the last watermark has decided, by a plain search."""
+    tried = [e for e in events if e.ts is not None and e.event_type in ("error", "purchase")]
+    last = max(e.ts for e in tried)
+    watermark, day, out = last.replace(microsecond=last.microsecond // 1000 * 1000) - dt.timedelta(days=1), dt.timedelta(days=1), []
+    won = sorted((e.ts, e.event_id, e.user_id) for e in tried if e.event_type == "purchase" and e.user_id is not None)
+    for e in tried:
+        if e.event_type == "error":
+            found = next(((s, t) for t, s, u in won if u == e.user_id and e.ts < t <= e.ts + day), (None, None))
+            if (found[1] or e.ts + day) <= watermark:
+                out.append((e.event_id, found[0], e.user_id, e.ts, found[1]))
+    return sorted(out, key=lambda r: [(v is not None, v) for v in r])
+
+
+def test_next_success_with_null_users_and_times_and_a_hot_user(spark):
+    path, first = scratch(spark, "retries-in"), dt.datetime(2024, 1, 1)
+    made = []
+    for i in range(240):
+        user = 1 if i % 3 == 0 else None if i % 7 == 0 else i % 5
+        ts = None if i % 41 == 0 else first + dt.timedelta(minutes=i * 37 + (i % 2) * 300, microseconds=i)
+        made.append((i, user, ts, ("error", "purchase", "error", "view")[i % 4]))
+    for part in range(4):
+        some = spark.createDataFrame(made[part * 60 : part * 60 + 60], "event_id long, user_id long, ts timestamp, event_type string")
+        some.coalesce(1).write.mode("append").parquet(path)
+    events = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    drained = drain.append(jobs.failed_then_success(events), "retries-out", store=drain.ROCKSDB)
+    want = next_successes(spark.read.parquet(path).collect())
+    assert rows(drained) == want and len(want) > 50 and {r[1] is None for r in want} == {True, False}
