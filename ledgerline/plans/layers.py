@@ -95,8 +95,9 @@ def sink_event_date_partition(t):
 def append_rows(t):
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     path = scratch(t.spark, "orders_appended")
-    orders.filter(F.col("o_orderdate") < "1998-01-01").write.parquet(path)
-    later = orders.filter(F.col("o_orderdate") >= "1998-01-01")
+    early = F.coalesce(F.col("o_orderdate") < "1998-01-01", F.lit(False))
+    orders.filter(early).write.parquet(path)
+    later = orders.filter(~early)  # orders without a date come with the second delivery
     # Another column order: rows are appended by name.
     later.select("o_orderdate", "o_custkey", "o_orderkey").write.mode("append").parquet(path)
     return t.spark.read.schema(orders.schema).parquet(path)

@@ -432,16 +432,17 @@ def surrogate_key_dense(t):
 
 
 @query(
-    """SELECT event_id AS source_id, CASE WHEN ts < TIMESTAMP '2024-01-20'
-THEN row_number() OVER (PARTITION BY ts < TIMESTAMP '2024-01-20' ORDER BY ts, event_id)
-ELSE (SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-20')
-  + row_number() OVER (PARTITION BY ts < TIMESTAMP '2024-01-20' ORDER BY ts, event_id) END AS event_key FROM events"""
+    """SELECT event_id AS source_id, CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 0
+ELSE (SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-20') END
++ row_number() OVER (PARTITION BY coalesce(ts < TIMESTAMP '2024-01-20', false) ORDER BY ts NULLS FIRST, event_id) AS event_key FROM events"""
 )
 def surrogate_key_continue(t):
+    """Events without a time are keyed with the arrivals, before them."""
     events = t.events.select(F.col("event_id").alias("source_id"), "ts")
     cut = cal.ntz(dt.date(2024, 1, 20))
-    stored = keys.dense_key(events.filter(F.col("ts") < cut), ["ts", "source_id"], "event_key", bare=True)
-    added = keys.continue_keys(stored, events.filter(F.col("ts") >= cut), ["ts", "source_id"], "event_key", bare=True)
+    early = F.coalesce(F.col("ts") < cut, F.lit(False))
+    stored = keys.dense_key(events.filter(early), ["ts", "source_id"], "event_key", bare=True)
+    added = keys.continue_keys(stored, events.filter(~early), ["ts", "source_id"], "event_key", bare=True)
     return stored.unionByName(added).select("source_id", "event_key")
 
 

@@ -67,7 +67,22 @@ def test_the_check_finds_bad_rows(spark, outside, name):
     assert 0 < row.n_bad < row.n_rows
 
 
-@pytest.mark.parametrize("name", ["running_wallet_balance", "session_login_review", "join_star_enrich", "join_inner_key_restrict"])
+@pytest.fixture(scope="module")
+def undated(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("undated"))
+    for name, column, key in (("events", "ts", "event_id"), ("orders", "o_orderdate", "o_orderkey")):
+        sql = f"SELECT * REPLACE (CASE WHEN {key} % 9 = 0 THEN NULL ELSE {column} END AS {column}) FROM '{SOURCE}/{name}.parquet'"
+        duckdb.sql(f"COPY ({sql}) TO '{folder}/{name}.parquet' (FORMAT parquet)")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["append_rows", "surrogate_key_continue", "incremental_daily_load", "stream_failed_then_success"])
+def test_rows_without_a_time_are_kept(spark, undated, name):
+    assert compare(CATALOG[name](spark, undated), oracle_connection(undated), CATALOG[name].oracle) == []
+
+
+# Scans and dense keys store a layout when they are built; other queries only plan.
+@pytest.mark.parametrize("name", ["metric_dau_wau", "join_star_enrich", "join_inner_key_restrict"])
 def test_building_a_query_runs_no_job(spark, folder, name):
     spark.sparkContext.setJobGroup("build", name)
     try:
