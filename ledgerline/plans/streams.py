@@ -99,12 +99,12 @@ def stream_failed_then_success(t):
 @query(
     """SELECT 1::INTEGER AS delivery, count(*) AS rows_read, CAST(0 AS BIGINT) AS rows_too_late, count(*) AS rows_kept
 FROM events WHERE ts >= TIMESTAMP '2024-01-16'
-UNION ALL SELECT 2, count(*), count(*) FILTER (WHERE ts < b), count(*) FILTER (WHERE ts >= b)
-FROM (SELECT ts, (SELECT max(ts) FROM events) - INTERVAL 1 DAY AS b FROM events WHERE ts < TIMESTAMP '2024-01-16')"""
+UNION ALL SELECT 2, count(*), count(*) FILTER (WHERE ts < b), count(*) FILTER (WHERE ts >= b OR ts IS NULL)
+FROM (SELECT ts, (SELECT max(ts) FROM events) - INTERVAL 1 DAY AS b FROM events WHERE NOT coalesce(ts >= TIMESTAMP '2024-01-16', false))"""
 )
 def stream_late_data(t):
     """Two deliveries, the older events last: what lies behind the watermark is counted, not kept."""
-    later = F.col("ts") >= cal.ntz(dt.date(2024, 1, 16))
+    later = F.coalesce(F.col("ts") >= cal.ntz(dt.date(2024, 1, 16)), F.lit(False))
     root = scratch(t.spark, "late")
     reports, kept_before = [], 0
     for number, condition in ((1, later), (2, ~later)):

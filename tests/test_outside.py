@@ -76,7 +76,7 @@ def undated(tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["append_rows", "surrogate_key_continue", "incremental_daily_load", "stream_failed_then_success"])
+@pytest.mark.parametrize("name", ["append_rows", "surrogate_key_continue", "incremental_daily_load", "stream_failed_then_success", "stream_late_data"])
 def test_rows_without_a_time_are_kept(spark, undated, name):
     assert compare(CATALOG[name](spark, undated), oracle_connection(undated), CATALOG[name].oracle) == []
 
