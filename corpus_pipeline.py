@@ -8,8 +8,8 @@ have besides those are dropped at the first stage.
 2. lines: chunks of lines and passages of over 50 words that repeat an earlier document's are cut
    out of the text. Documents
    whose whole text was cut out stay as empty ones, and are near duplicates of each other.
-3. near duplicates: texts whose five-word shingles have a Jaccard similarity of 0.8 or more are
-   linked, and of each linked group the document of the smallest key stays;
+3. near duplicates: documents whose SimHash fingerprints (three-word shingles) differ in three bits
+   or fewer are linked, and of each linked group the document of the smallest key stays;
    a document without a key stays only when no row of its group has one.
 4. benchmark: documents that hold a benchmark item go.
 5. tokens: ids of every text, and what they decode to.
@@ -39,7 +39,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs.select(*COLUMNS), shingle=simhash.ALIKE_SHINGLE, similarity=simhash.SIMILARITY)
+    return simhash.one_of_each(docs.select(*COLUMNS), shingle=simhash.SHINGLE, distance=simhash.DISTANCE)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
