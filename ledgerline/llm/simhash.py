@@ -10,11 +10,6 @@ Rows with one fingerprint are one node. Inside a group of equal variants the lin
 block by block and only a spanning forest of them is returned, so a group of n near copies gives
 n - 1 links, not all its pairs, and no connection is lost.
 
-``one_of_each`` can ask for a similarity instead: texts whose sets of five-word shingles have that
-Jaccard similarity or more are linked. Candidates share one of ``BANDS`` bands of ``BAND_ROWS`` least hashes (at 0.8,
-all but 7 in 100,000 pairs do) and are verified on the whole sets; only texts that share a band have their sets
-built. Texts without words are alike.
-
 Cases: a null text has no words; texts without words have fingerprint zero, which is linked like
 any other. A text of fewer words than a shingle is one shingle. Rows with a null key get a
 component like others, but never name one, unless all rows of it have null keys. Columns besides
@@ -42,9 +37,6 @@ SMALL_GROUP = 8
 RUN_BYTES = 1 << 20
 MAX_BROADCAST = 100_000
 
-ALIKE_SHINGLE, SIMILARITY = 5, 0.8
-BANDS, BAND_ROWS = 24, 5
-
 _ONES = np.uint64(0x0101010101010101)
 
 
@@ -247,117 +239,16 @@ def near_duplicates(
     return rows.join(of_fp, "fp").select(key, hexed.alias("fingerprint"), "component_id")
 
 
-def bands(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """For consecutive runs of ``sizes`` hashes, a row of ``BANDS`` hashes, each of ``BAND_ROWS`` least hashes of the run."""
-    out = np.zeros((len(sizes), BANDS), "uint64")
-    full = np.flatnonzero(sizes)
-    if not len(full):
-        return out.view("int64")
-    starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-    pick = np.random.default_rng(HASH_SEED)
-    for b in range(BANDS):
-        band = np.full(len(full), b + 1, "uint64")
-        for m in pick.integers(1 << 62, 1 << 63, BAND_ROWS, dtype="uint64") * np.uint64(2) + np.uint64(1):
-            band = (band ^ np.minimum.reduceat(hashes * m, starts)) * np.uint64(0x9E3779B97F4A7C15)
-            band ^= band >> np.uint64(29)
-        out[full, b] = band
-    return out.view("int64")
-
-
-def alike_forest(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """A spanning forest, as places, of the links among sets of sorted distinct hashes."""
-    left, out = list(range(len(sets))), []
-    while left:
-        queue, left = [left[0]], left[1:]
-        while queue and left:
-            at, rest = queue.pop(0), []
-            a = sets[at]
-            for i in left:
-                b, near = sets[i], False
-                if min(len(a), len(b)) >= similarity * max(len(a), len(b)):
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    near = both >= similarity * (len(a) + len(b) - both)
-                if near:
-                    out.append((at, i))
-                    queue.append(i)
-                else:
-                    rest.append(i)
-            left = rest
-    return out
-
-
-def alike_links(docs: DataFrame, nodes: DataFrame, key: str, text: str, shingle: int, similarity: float) -> DataFrame:
-    """(u, v): prints of texts of ``similarity`` or more, so that their components are connected. nodes: print, key, bands."""
-    each = nodes.select("print", F.explode(F.array_distinct("bands")).alias("band"))
-    often = stored(each.groupBy("band").count().filter("count > 1").select("band"), "alike-bands")
-    shared = stored(each.join(often, "band").select("band", "print"), "alike-shared")
-
-    def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", RUN_BYTES):
-            found = [np.unique(np.array(shingle_hashes(t, shingle), "uint64")).tobytes() for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("print"), pa.array(found, pa.binary())], ["print", "hashes"])
-
-    wanted = shared.select("print").distinct().join(nodes.select("print", "key"), "print")
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(F.col(key).cast("long").alias("key"), _print(text).alias("print"), body.alias("text")).alias("d")
-    same = F.col("d.key").eqNullSafe(F.col("w.key")) & (F.col("d.print") == F.col("w.print"))
-    texts = rows.join(wanted.alias("w"), same).select("d.print", "d.text")
-    sets = stored(texts.mapInArrow(build, "print long, hashes binary").dropDuplicates(["print"]), "alike-sets")
-
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(members: list[tuple[int, bytes]]) -> pa.RecordBatch:
-            edges = alike_forest([np.frombuffer(h, "uint64") for _, h in members], similarity)
-            return pa.RecordBatch.from_arrays([pa.array([members[e[x]][0] for e in edges], pa.int64()) for x in (0, 1)], ["u", "v"])
-
-        band, members = None, []
-        for batch in batches:
-            for b, p, h in zip(*(batch.column(c).to_pylist() for c in ("band", "print", "hashes"))):
-                if b != band:
-                    if len(members) > 1:
-                        yield found(members)
-                    band, members = b, []
-                members.append((p, h))
-        if len(members) > 1:
-            yield found(members)
-
-    keyed = shared.join(sets, "print").select("band", "print", "hashes").repartition("band").sortWithinPartitions("band", "print")
-    return keyed.mapInArrow(search, "u long, v long")
-
-
-def _alike(docs: DataFrame, key: str, text: str, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """The stored rows (key, print, fp), fp being the print, and (fp, root) of every print."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", RUN_BYTES):
-            each = [shingle_hashes(t, shingle) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            sizes = np.array([len(x) for x in each], "int64")
-            flat = np.fromiter((h for x in each for h in x), "uint64", count=int(sizes.sum()))
-            found = pa.FixedSizeListArray.from_arrays(pa.array(bands(flat, sizes).reshape(-1)), BANDS).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("print"), found], ["key", "print", "bands"])
-
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(F.col(key).cast("long").alias("key"), _print(text).alias("print"), body.alias("text"))
-    rows = stored(rows.mapInArrow(run, "key long, print long, bands array<long>"), "alike-rows")
-    nodes = stored(rows.groupBy("print").agg(F.min("key").alias("key"), F.first("bands").alias("bands")), "alike-nodes")
-    roots = components(alike_links(docs, nodes, key, text, shingle, similarity), "alike-components")
-    placed = nodes.select(F.col("print").alias("fp")).join(roots.withColumnRenamed("u", "fp"), "fp", "left")
-    rows = rows.select(F.col("key").alias(key), "print", F.col("print").alias("fp"))
-    return rows, placed.select("fp", F.coalesce("root", "fp").alias("root"))
-
-
 def one_of_each(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE,
-    group: int = GROUP, similarity: float | None = None,
+    group: int = GROUP,
 ) -> DataFrame:
     """The documents that stay when of each component only the smallest key does; all columns.
 
     A row without a key stays only when no row of its component has one. Rows of one key are told
     apart by a hash of their text; of rows that repeat key and text one stays.
     """
-    if similarity is None:
-        rows, roots = _linked(docs, key, text, shingle, distance, group)
-    else:
-        rows, roots = _alike(docs, key, text, shingle, similarity)
+    rows, roots = _linked(docs, key, text, shingle, distance, group)
     place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("print"))
     each = rows.groupBy("fp", key, "print").agg(F.count("*").alias("n"))
     first = each.groupBy("fp").agg(F.min(F.struct(place.alias("place"), "n")).alias("first")).join(roots, "fp")

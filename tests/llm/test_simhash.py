@@ -112,44 +112,32 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components(spark.range(0).select(F.col("id").alias("u"), F.col("id").alias("v"))).count() == 0
 
 
-def plain_alike(rows, n=5, least=0.8):
-    """rows (key, text), unique -> the keys that stay, by comparing the shingle sets of all."""
-    sets = [frozenset(simhash.shingle_hashes((t or "").encode(), n)) for _, t in rows]
-    label = list(range(len(rows)))
-
-    def root(i):
-        while label[i] != i:
-            i = label[i]
-        return i
-
-    for i, a in enumerate(sets):
-        for j in range(i):
-            b = sets[j]
-            if len(a & b) >= least * len(a | b):
-                x, y = root(i), root(j)
-                label[max(x, y)] = min(x, y)
-    return {rows[root(i)][0] for i in range(len(rows))}
+def plain_stay(rows):
+    """rows (key, text), keys unique -> the keys that stay, by comparing the fingerprints of all."""
+    fps = {k: plain_fingerprint(t) for k, t in rows}
+    least = plain_components([(k, f) for k, f in fps.items()])
+    return {k for k, f in fps.items() if least[f] == k}
 
 
-def test_one_of_each_by_similarity(spark):
-    """Edited copies at similarities around 0.8, most of them more than three bits apart."""
+def test_one_of_each(spark):
+    """Edited copies, some within three bits; texts without words are one group."""
     pick, rows = random.Random(11), []
-    for k in range(40):
+    for _ in range(40):
         words = [f"w{pick.randint(0, 5000)}" for _ in range(pick.randint(60, 400))]
         rows.append((len(rows), " ".join(words)))
         for _ in range(pick.randint(0, 4)):
             edited = list(words)
-            for at in pick.sample(range(len(words)), max(1, int(len(words) * pick.choice([0.005, 0.01, 0.015, 0.03])))):
+            for at in pick.sample(range(len(words)), pick.choice([1, 1, 2, 5])):
                 edited[at] = f"x{pick.randint(0, 5000)}"
             rows.append((len(rows), " ".join(edited)))
     rows += [(1000, ""), (1001, None), (1002, " \n"), (1003, rows[0][1]), (1004, "one two"), (1005, "one  two")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    stay = {r.doc_id for r in simhash.one_of_each(docs, shingle=5, similarity=0.8).collect()}
-    assert stay == plain_alike(rows)
-    assert len(stay) < simhash.one_of_each(docs).count()
+    stay = {r.doc_id for r in simhash.one_of_each(docs).collect()}
+    assert stay == plain_stay(rows) and not {1001, 1002, 1003, 1005} & stay
+    assert 40 < len(stay) < len(rows) - 5
 
 
-def test_awkward_rows_by_similarity(awkward, none):
-    stay = [r.doc_id for r in simhash.one_of_each(awkward, shingle=5, similarity=0.8).collect()]
+def test_one_of_each_of_awkward_rows(awkward, none):
+    stay = [r.doc_id for r in simhash.one_of_each(awkward).collect()]
     assert len(stay) == len(set(stay)) and {3, 100, 103, 105} <= set(stay) and not {101, 102, 200, None} & set(stay)
-    assert simhash.one_of_each(none, shingle=5, similarity=0.8).count() == 0
+    assert simhash.one_of_each(none).count() == 0
