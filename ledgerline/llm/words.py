@@ -16,6 +16,7 @@ PRIME = (1 << 61) - 1
 _POINT = 0x1B873593CC9E2D51 % PRIME  # where the polynomials are evaluated
 _INVERSE = pow(_POINT, -1, PRIME)
 _LOW, _MIDDLE = U((1 << 31) - 1), U((1 << 30) - 1)
+BLOCK = 1 << 15  # values handled at a time, so that intermediate arrays stay small
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers: dict[int, np.ndarray] = {}
@@ -35,7 +36,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def reduced(x: np.ndarray) -> np.ndarray:
     """Values below 2**64 modulo the prime."""
     x = (x & U(PRIME)) + (x >> U(61))
-    return np.where(x >= U(PRIME), x - U(PRIME), x)
+    return np.minimum(x, x - U(PRIME))  # below the prime, the difference wraps to a larger number
 
 
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -59,18 +60,28 @@ def powers(base: int, n: int) -> np.ndarray:
     return held[:n]
 
 
-def prefix_sums(values: np.ndarray) -> np.ndarray:
-    """Sums of value times power before each place, modulo the prime; one longer than ``values``."""
-    terms = times(reduced(np.asarray(values, "uint64")), powers(_POINT, len(values)))
-    low, high = np.cumsum(terms & _LOW, dtype="uint64"), np.cumsum(terms >> U(31), dtype="uint64")
-    sums = np.zeros(len(values) + 1, "uint64")
-    sums[1:] = reduced(low + (high >> U(30)) + ((high & _MIDDLE) << U(31)))
+def prefix_sums(values: np.ndarray, letters: np.ndarray | None = None) -> np.ndarray:
+    """Sums of value times power before each place, modulo the prime; one longer than ``values``.
+
+    With ``letters``, values are places in that table.
+    """
+    sums, power = np.zeros(len(values) + 1, "uint64"), powers(_POINT, len(values))
+    for i in range(0, len(values), BLOCK):
+        part = values[i : i + BLOCK] if letters is None else letters[values[i : i + BLOCK]]
+        terms = times(reduced(np.asarray(part, "uint64")), power[i : i + BLOCK])
+        low, high = np.cumsum(terms & _LOW, dtype="uint64"), np.cumsum(terms >> U(31), dtype="uint64")
+        own = reduced(low + (high >> U(30)) + ((high & _MIDDLE) << U(31)))
+        sums[i + 1 : i + 1 + len(part)] = reduced(own + sums[i])
     return sums
 
 
 def run_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash for each run [start, end), the same for equal runs wherever they stand."""
-    return mix(times(reduced(sums[ends] + (U(PRIME) - sums[starts])), powers(_INVERSE, len(sums))[starts]))
+    out, power = np.empty(len(starts), "uint64"), powers(_INVERSE, len(sums))
+    for i in range(0, len(starts), BLOCK):
+        a, b = starts[i : i + BLOCK], ends[i : i + BLOCK]
+        out[i : i + BLOCK] = mix(times(reduced(sums[b] + (U(PRIME) - sums[a])), power[a]))
+    return out
 
 
 def byte_values(data: np.ndarray) -> np.ndarray:
@@ -99,7 +110,7 @@ def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, "uint64")
-    return run_hashes(prefix_sums(byte_values(data)), starts, ends)
+    return run_hashes(prefix_sums(data, _LETTER), starts, ends)
 
 
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
