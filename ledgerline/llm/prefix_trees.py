@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import repeats, words
-from ledgerline.llm.common import pieces
 
 LENGTH = 20
 RUN = 7  # words of an anchor's run
@@ -100,9 +99,9 @@ def remove_repeats(
     last = "kept_sha256" if digest else "kept"
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "z", repeats.RUN_BYTES // 2):
+        for batch, texts in repeats.opened(batches):
             sizes, removed, kept = [], [], []
-            for data, spans in zip(repeats.unpacked(batch.column("z")), batch.column("spans").to_pylist()):
+            for data, spans in zip(texts, batch.column("spans").to_pylist()):
                 own, at, left = data.split(), 0, []
                 for a, b in repeats.covered(spans, length):
                     left += own[at:a]

@@ -164,10 +164,20 @@ def _packed_texts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc long, mark long, z binary")
 
 
-def unpacked(column: pa.Array) -> list[bytes]:
-    """The texts of a packed column."""
+def opened(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Packed rows with their texts, in runs of about ``RUN_BYTES`` of text, however well they pack.
+
+    A single longer text makes a run of its own.
+    """
     open_ = zstandard.ZstdDecompressor()
-    return [open_.decompress(z) for z in column.to_pylist()]
+    for batch in batches:
+        packed, start, total = batch.column("z").to_pylist(), 0, 0
+        for row, z in enumerate([*packed, None]):
+            size = zstandard.frame_content_size(z) if z is not None else RUN_BYTES + 1
+            if row > start and total + size > RUN_BYTES:
+                yield batch.slice(start, row - start), [open_.decompress(p) for p in packed[start:row]]
+                start, total = row, 0
+            total += size
 
 
 def _join_texts(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
@@ -185,8 +195,8 @@ def contents(rows: DataFrame, wanted: DataFrame, scheme: Scheme) -> DataFrame:
     once = _join_texts(_packed_texts(rows), lists, "inner").dropDuplicates(["doc", "mark"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "z", RUN_BYTES // 2):
-            texts = pa.array(unpacked(batch.column("z")), pa.large_binary())
+        for batch, texts in opened(batches):
+            texts = pa.array(texts, pa.large_binary())
             lists = batch.column("wanted")
             flat = lists.flatten()
             text = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
