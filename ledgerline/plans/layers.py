@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators import contracts, incremental
 from ledgerline.plans import views
 from ledgerline.plans.registry import query
 from ledgerline.plans.views import with_views
@@ -125,7 +126,8 @@ def truncate_and_load(t):
     staged, target = scratch(t.spark, "stage"), scratch(t.spark, "supplier")
     shouting.write.parquet(staged)
     sinks.overwrite(t.supplier.filter(F.col("s_acctbal") < 0), target)
-    return sinks.truncate_and_load(t.spark, staged, INPUT["supplier"], target)
+    contract = contracts.Contract(INPUT["supplier"], key=("s_suppkey",))
+    return contracts.load(t.spark.read.parquet(staged), contract, target, scratch(t.spark, "supplier_quarantine")).table
 
 
 _ALL = list(INPUT)
@@ -170,7 +172,16 @@ def silver_table_materialize(t):
     return sinks.materialize_table(cleansed_customers(t), "silver_customer", scratch(t.spark, "silver"))
 
 
-@query("SELECT CAST(ts AS DATE) AS day, count(*) AS events FROM events GROUP BY 1")
+@query("SELECT CAST(ts AS DATE) AS day, count(*) AS events, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
 def gold_view_materialize(t):
-    daily = t.events.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("events"))
+    """Errors are landed late; only the days they fall on are aggregated again."""
+    lake, held, day = scratch(t.spark, "gold_lake"), scratch(t.spark, "gold_state"), F.to_date("ts")
+    late = F.col("event_type").eqNullSafe("error")
+    landed = sinks.land_by_day(t.events.filter(~late).select("user_id", "ts"), day, lake)
+    incremental.refresh(landed, held, "user_id", {})
+    delayed = t.events.filter(late).select("user_id", "ts")
+    days = incremental.days_of(delayed.select(day.alias(incremental.DAY)))
+    landed = sinks.append_by_day(delayed, day, lake)
+    current = incremental.refresh(landed, held, "user_id", {}, days)
+    daily = incremental.rolled_up(current, F.col(incremental.DAY), "day", "user_id", "users", {incremental.ROWS: "events"})
     return sinks.gold_view(daily, "gold_daily_events")

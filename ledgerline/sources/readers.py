@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast and reorder to a contract, matching names without regard to case.
+def matched(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """The column of ``df`` for each one of a contract, matching names without regard to case.
 
     Missing nullable columns become null; a missing mandatory column is an error.
     """
@@ -47,13 +47,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     columns = []
     for field in schema.fields:
         if field.name.lower() in have:
-            source = F.col(f"`{have[field.name.lower()]}`")
+            columns.append(F.col(f"`{have[field.name.lower()]}`"))
         elif field.nullable:
-            source = F.lit(None)
+            columns.append(F.lit(None))
         else:
             raise ValueError(f"mandatory column {field.name} is missing")
-        columns.append(source.cast(field.dataType).alias(field.name))
-    return df.select(columns)
+    return columns
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast and reorder to a contract; a value that does not fit its type is an error."""
+    return df.select([c.cast(f.dataType).alias(f.name) for c, f in zip(matched(df, schema), schema.fields)])
 
 
 def append_by_name(base: DataFrame, extra: DataFrame) -> DataFrame:

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.schemas import fixed_rows
-from ledgerline.sources.readers import conform
 
 
 def overwrite(df: DataFrame, path: str) -> DataFrame:
@@ -22,6 +20,13 @@ def overwrite_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def append_by_day(df: DataFrame, day: Column, path: str, column: str = "load_date") -> DataFrame:
+    """Add late rows to the folders of their days and leave what lies there."""
+    dated = df.withColumn(column, day)
+    dated.hint("rebalance", F.col(column)).write.mode("append").partitionBy(column).parquet(path)
+    return df.sparkSession.read.schema(dated.schema).parquet(path)
+
+
 def export_public(df: DataFrame, internal: Sequence[str], path: str) -> DataFrame:
     """Export all but the internal columns."""
     return overwrite(df.drop(*internal), path)
@@ -44,13 +49,6 @@ def land_by_day(df: DataFrame, day: Column, path: str, column: str = "load_date"
     return df.sparkSession.read.schema(dated.schema).parquet(path)
 
 
-def truncate_and_load(
-    spark: SparkSession, files: str, schema: T.StructType, target: str
-) -> DataFrame:
-    """Replace a table from files whose headers may differ in case and order."""
-    return overwrite(conform(spark.read.parquet(files), schema), target)
-
-
 def publish(frames: dict[str, DataFrame], base_uri: str) -> dict[str, DataFrame]:
     """Write each table to ``<base_uri>/<table>``; the scheme of the URI picks the store."""
     return {name: overwrite(df, f"{base_uri.rstrip('/')}/{name}") for name, df in frames.items()}
