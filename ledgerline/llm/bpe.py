@@ -1,13 +1,17 @@
 """BPE by dynamic programming over prefixes, for word-level BPE with an end-of-word mark.
 
-For every prefix of a piece there is exactly one token that its encoding can end with. All tokens
-that end at a position come from the suffix links of an automaton over the vocabulary; a token
-fits when it is compatible with the last token of the prefix before it, that is when BPE would
-not merge across the border of the two. The ids follow from the back-pointers of the last tokens.
+For every prefix of a piece there is exactly one token that its encoding can end with. A token
+that ends there fits when it is compatible with the last token of the prefix before it, that is
+when BPE would not merge across the border of the two. Prefixes are looked at from the whole piece
+backwards, tokens from the longest to its shorter suffixes, so only prefixes that a token leaves
+are worked out; what is known of a prefix holds for all pieces that begin with it, and is kept.
+Long pieces take all prefixes in order, with the tokens of each from the suffix links of an
+automaton over the vocabulary; their ids follow from the back-pointers of the last tokens.
 
 A text is cut into pieces as the tokenizer file says: special tokens in the raw text stand for
-themselves; the rest is put in NFC, white space runs become one space, letters are lower-cased,
-and each match of the file's pattern is a piece. A file of another kind is refused.
+themselves; the rest is put in NFC, white space runs become one space (left out where the pattern
+does not look at white space), letters are lower-cased, and each match of the file's pattern is a
+piece. A file of another kind is refused.
 
 Cases: a null text is encoded as an empty one, which has no ids. Repeated rows are encoded alike.
 A long text or word is encoded whole; the work grows with its length times the longest token.
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -31,8 +36,12 @@ from ledgerline.llm.common import pieces as runs
 
 MAX_MODEL_BYTES = 64 << 20  # the tokenizer file is broadcast
 CACHED_PIECES = 60_000  # pieces held per generation of a worker's cache; there are two
+LONG = 64  # characters; a longer piece is not cached, and takes all its prefixes in order
 RUN_BYTES = 1 << 20
 END = "\x00"  # end-of-word mark inside the automaton
+# A pattern of which no match holds or looks at white space, and what it is for ASCII in lower case.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_WORDS = r"[a-z]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\sa-z0-9]+"
 
 NEVER = float("inf")
 
@@ -59,11 +68,13 @@ class Encoder:
             ["NFC", "Replace", "Lowercase"], "ByteLevel", "Removed", True, False,
         ):
             raise ValueError("this is not a word-level BPE file of the kind read here")
-        self.pattern = regex.compile(split["pattern"]["Regex"])
+        self.pattern = self.ascii_pattern = regex.compile(split["pattern"]["Regex"])
         self.space = regex.compile(spec["normalizer"]["normalizers"][1]["pattern"]["Regex"])
+        if split["pattern"]["Regex"] == WORDS and self.space.pattern == r"\s+":
+            self.ascii_pattern, self.space = re.compile(ASCII_WORDS, re.ASCII), None
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.letters = byte_letters()
+        self.letters = "".join(byte_letters())
         suffix = model["end_of_word_suffix"]
         self.names = {i: t for t, i in model["vocab"].items()}
         vocab = model["vocab"]
@@ -75,17 +86,32 @@ class Encoder:
             parts.setdefault(vocab[left + right], (rank, *pair))
         self.size: dict[int, int] = {}
         self.automaton = ahocorasick.Automaton()
+        spelled: dict[str, int] = {}
         reachable = set(parts) | {vocab[c + e] for c in self.letters for e in ("", suffix) if c + e in vocab}
         for token, name in self.names.items():
             if token in reachable:
                 text = name[: -len(suffix)] + END if name.endswith(suffix) and len(name) > len(suffix) else name
                 self.size[token] = len(text)
                 self.automaton.add_word(text, token)
+                spelled[text] = token
         self.automaton.make_automaton()
+        # Each end of a token, with the longest token that it ends with; each token's next shorter one.
+        self.tails: dict[str, int | None] = {}
+        shorter: dict[int, int | None] = {}
+        for text in spelled:
+            longest = None
+            for start in range(len(text) - 1, -1, -1):
+                token = spelled.get(text[start:])
+                if token is not None:
+                    shorter[token], longest = longest, token
+                self.tails[text[start:]] = longest
+        # What a prefix asks of a token: size, next shorter one, id and name after a space.
+        self.about = {t: (n, shorter.get(t), f" {t}", f" {self.names[t]}") for t, n in self.size.items()}
         # A token's outer parts on one side, innermost first, each with the rank of the merge that ends it.
         self.right_edge = {t: self._edge(t, parts, 2) for t in self.size}
         self.left_edge = {t: self._edge(t, parts, 1) for t in self.size}
         self.fits: dict[tuple[int, int], bool] = {}
+        self.known: dict[str, tuple[int | None, str, str]] = {}
         self.new: dict[str, tuple[str, str]] = {}
         self.old: dict[str, tuple[str, str]] = {}
 
@@ -124,10 +150,40 @@ class Encoder:
         self.fits[left, right] = held
         return held
 
+    def spell(self, piece: str) -> str:
+        """The letters of a piece's bytes, and the end-of-word mark."""
+        if piece.isascii() and piece.isalpha():
+            return piece + END
+        return piece.encode("utf-8").decode("latin-1").translate(self.letters) + END
+
+    def prefix(self, text: str) -> tuple[int | None, str, str]:
+        """The last token of a prefix (None: it cannot be spelled), its ids and token names."""
+        tails, known, length, k = self.tails, self.known, len(text), 1
+        while k < length and text[-k - 1 :] in tails:
+            k += 1
+        token = tails.get(text[-k:])
+        while token is not None:
+            size, shorter, number, name = self.about[token]
+            if size == length:
+                return token, number, name
+            left = text[:-size]
+            before = known.get(left)
+            if before is None:
+                before = self.prefix(left)
+                if len(known) >= CACHED_PIECES:
+                    known.clear()
+                known[left] = before
+            last, ids, names = before
+            if last is not None:
+                fits = self.fits.get((last, token))
+                if fits or (fits is None and self.compatible(last, token)):
+                    return token, ids + number, names + name
+            token = shorter
+        return None, "", ""
+
     def piece_ids(self, piece: str) -> list[int]:
-        """The ids of one piece."""
-        letters = self.letters
-        text = "".join([letters[b] for b in piece.encode("utf-8")]) + END
+        """The ids of one piece, all its prefixes in order."""
+        text = self.spell(piece)
         last: list[int | None] = [None] * (len(text) + 1)
         size, compatible = self.size, self.compatible
         for end, token in self.automaton.iter(text):
@@ -145,17 +201,21 @@ class Encoder:
         return ids[::-1]
 
     def piece(self, piece: str) -> tuple[str, str]:
-        """Ids and token names of a piece, each joined by a space."""
+        """Ids and token names of a piece, each after a space."""
         found = self.new.get(piece)
         if found is None:
+            if len(piece) > LONG:
+                ids = self.piece_ids(piece)
+                return "".join([self.about[i][2] for i in ids]), "".join([self.about[i][3] for i in ids])
             found = self.old.get(piece)
             if found is None:
-                ids = self.piece_ids(piece)
-                found = " ".join(map(str, ids)), " ".join([self.names[i] for i in ids])
-            if len(piece) <= 64:
-                if len(self.new) >= CACHED_PIECES:
-                    self.old, self.new = self.new, {}
-                self.new[piece] = found
+                last, ids, names = self.prefix(self.spell(piece))
+                if last is None:
+                    raise ValueError(f"the vocabulary cannot spell {piece[:40]!r}")
+                found = ids, names
+            if len(self.new) >= CACHED_PIECES:
+                self.old, self.new = self.new, {}
+            self.new[piece] = found
         return found
 
     def text_pieces(self, text: str) -> list[tuple[str, str]]:
@@ -164,17 +224,20 @@ class Encoder:
         out = []
         for part in self.specials.split(text):
             if part in self.special:
-                out.append((str(self.special[part]), part))
+                out.append((f" {self.special[part]}", f" {part}"))
             elif part:
                 out += self._plain(part)
         return out
 
     def _plain(self, text: str) -> list[tuple[str, str]]:
+        pattern = self.ascii_pattern
         if not text.isascii():
+            pattern = self.pattern
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower-cased without regard to place
-        text = self.space.sub(" ", text).lower()
+        if self.space is not None:
+            text = self.space.sub(" ", text)
         new, piece = self.new, self.piece
-        return [new.get(p) or piece(p) for p in self.pattern.findall(text)]
+        return [new.get(p) or piece(p) for p in pattern.findall(text.lower())]
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for ids, _ in self.text_pieces(text) for i in ids.split()]
@@ -221,8 +284,8 @@ def tokens(docs: DataFrame, model_path: str, *, key: str = "doc_id", text: str =
             n, first, second = [], [], []
             for text in run.column("text").to_pylist():
                 found = encoder.text_pieces(text)
-                ids = " ".join([i for i, _ in found])
-                decoded = " ".join([d for _, d in found])
+                ids = "".join([i for i, _ in found])[1:]
+                decoded = "".join([d for _, d in found])[1:]
                 n.append(ids.count(" ") + 1 if ids else 0)
                 first.append(sha(ids) if digests else [int(i) for i in ids.split()])
                 second.append(sha(decoded) if digests else decoded)

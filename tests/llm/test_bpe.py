@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 
 import public_tokenizers
@@ -65,3 +66,39 @@ def test_query_against_the_library(spark, folder, library):
         decoded = library.decode(ids, skip_special_tokens=False)
         digests = [hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), decoded)]
         assert [found[k].n_tokens, found[k].ids_sha256, found[k].decoded_sha256] == [len(ids), *digests]
+
+
+def test_ascii_and_white_space_as_the_library_cuts_them(library, encoder):
+    signs = [chr(c) for c in range(128)] + list("\x85\xa0\u2003\u2028\u202f\u3000\u200b\ufeff\u00c0\u0663")
+    for a in signs:
+        for b in ["s", "'", "7", " ", "\x1f", "é"]:
+            text = f"it{a}{b}{a}ll {a}{a}\t{b}'re"
+            assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_other_patterns_keep_the_white_space_step(encoder):
+    spec = json.loads(open(PATH, encoding="utf-8").read())
+    split = spec["pre_tokenizer"]["pretokenizers"][0]
+    split["pattern"]["Regex"] = r" ?\p{L}+| "
+    other, library = bpe.Encoder(json.dumps(spec)), Tokenizer.from_str(json.dumps(spec))
+    for text in ("a\t\tb  c", "Été\u3000 l\u00e0", " x \n"):
+        assert other.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_on_both_sides_of_the_longest_cached_one(library, encoder):
+    pick = random.Random(5)
+    for n in range(bpe.LONG - 2, bpe.LONG + 3):
+        for pool in ("a", "ab", "etaoinshr", "é東", "😀👍"):
+            text = "".join(pick.choices(pool, k=n))
+            assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_what_is_known_of_a_prefix_serves_other_pieces(library, monkeypatch):
+    fresh, asked = bpe.Encoder(open(PATH, encoding="utf-8").read()), []
+    plain = fresh.compatible
+    monkeypatch.setattr(fresh, "compatible", lambda left, right: asked.append(left) or plain(left, right))
+    pick = random.Random(4)
+    ends = ["".join(pick.choices("etaoinshrdlu", k=3)) for _ in range(200)]
+    text = " ".join(f"undertheingbleationmentouchstrand{end}" for end in ends)
+    assert fresh.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert len(asked) < 10 * len(ends)  # letters of a word: 36
